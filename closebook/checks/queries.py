@@ -20,10 +20,16 @@ from closebook.checks.bindings import (
     Bindings,
 )
 from closebook.config import ColumnMapping, ReportSpec
+from closebook.functions.dates import partition_id
 from closebook.operators import calendar, capital, journal, mapping, readiness
+from closebook.operators.journal import FILE_HEADER
 from closebook.plans.report import report_frame, shape
 from closebook.session import configure
+from closebook.sinks.files import write_journal_files
+from closebook.sinks.tables import write_partitioned
+from closebook.sources.files import month_files, read_header_csv
 from closebook.sources.tables import partition_inventory
+from closebook.workspace import new_path
 
 JOURNAL_BATCH = 100
 PROCESSOR_MONTH = date(2024, 1, 1)
@@ -83,8 +89,8 @@ DEPENDENCIES = {
 
 
 def _partition_inventory(b: Bindings) -> DataFrame:
-    month = F.date_format("reportmonth", "yyyy-MM").alias("partition_id")
-    return partition_inventory(b.revenue_lines().select(month))
+    months = partition_inventory(b.revenue_lines(), "reportmonth")
+    return months.select(partition_id(F.col("reportmonth")).alias("partition_id"), "n_rows")
 
 
 def _report_month_window(b: Bindings) -> DataFrame:
@@ -118,6 +124,40 @@ def _lines(b: Bindings) -> DataFrame:
     return journal.journal_lines(_monthly_stage(b), b.products())
 
 
+def _report_table(b: Bindings) -> DataFrame:
+    """The report as read back from its partitioned table, after writing it twice."""
+    path = new_path(b.spark, "report")
+    report = _monthly_revenue_report(b)
+    write_partitioned(report, path)
+    write_partitioned(report, path)
+    return b.spark.read.parquet(path)
+
+
+def _processor_table(b: Bindings) -> DataFrame:
+    """Header CSVs of a month folder, in two column orders and spellings of the suffix, to the processor's table."""
+    inbox, path = new_path(b.spark, "inbox"), new_path(b.spark, "northcard")
+    raw = b.view(NORTHCARD)
+    odd = F.col("batch_number").cast("int") % 2 == 1
+    raw.where(~odd).write.option("header", True).csv(f"{inbox}/2024-01/clean")
+    raw.where(odd).select(*reversed(raw.columns)).write.option("header", True).csv(f"{inbox}/2024-01/legacy")
+    files_found = month_files(b.spark, f"{inbox}/2024-01")
+    table = mapping.add_metadata(
+        mapping.apply_mapping(read_header_csv(b.spark, files_found), NORTHCARD_MAPPING), PROCESSOR_MONTH
+    )
+    write_partitioned(table, path)
+    return b.spark.read.parquet(path)
+
+
+def _je_files(b: Bindings) -> DataFrame:
+    """The ledger files as the importer reads them: blanks are NULL."""
+    folder = new_path(b.spark, "ledger")
+    lines = journal.journal_lines(_stage(b), b.products())
+    write_journal_files(lines, folder)
+    kinds = [(FILE_HEADER.get(c, c), dict(lines.dtypes)[c]) for c in journal.LINE_COLUMNS]
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in [*kinds, ("file_no", "bigint")])
+    return b.spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(folder)
+
+
 def _flows(b: Bindings) -> DataFrame:
     return b.view(CASH_FLOWS)
 
@@ -136,6 +176,9 @@ QUERIES: dict[str, Callable[[Bindings], DataFrame]] = {
     "je_lines": lambda b: _lines(b).select("file_no", "rk", *[f"`{c}`" for c in journal.LINE_COLUMNS]),
     "je_summary": lambda b: journal.control_totals(_monthly_stage(b)),
     "je_reconcile": lambda b: journal.reconcile(_lines(b)),
+    "report_table": _report_table,
+    "processor_table": _processor_table,
+    "je_files": _je_files,
     "sku_dim_parse": lambda b: journal.product_dimension(b.products()),
     "source_freshness": lambda b: readiness.source_freshness(b.view(SOURCE_RUNS), RUNS_AS_OF),
     "report_readiness": lambda b: readiness.report_readiness(b.view(SOURCE_RUNS), DEPENDENCIES, RUNS_AS_OF),

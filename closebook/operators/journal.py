@@ -95,7 +95,8 @@ def stage_batches(amounts: DataFrame, batch_size: int = BATCH_SIZE, per_month: b
     rest = ["sku", "payment_date", "organization_id", *([] if per_month else ["report_month"])]
     rows, runs = sorted_runs(amounts, rest, scope)
     card_rows = F.sum(F.when(F.col("partner") == CARD_PARTNER, F.col("_rows"))).over(Window.partitionBy(*month))
-    ahead = F.when(F.col("partner") == CARD_PARTNER, 0).otherwise(F.ceil(F.coalesce(card_rows, F.lit(0)) / batch_size))
+    card_files = _div(F.coalesce(card_rows, F.lit(0)) + batch_size - 1, batch_size)
+    ahead = F.when(F.col("partner") == CARD_PARTNER, 0).otherwise(card_files)
     return place(rows, runs.withColumn("_ahead", ahead), scope, "_ahead").select(
         "report_month",
         "organization_id",
@@ -103,7 +104,7 @@ def stage_batches(amounts: DataFrame, batch_size: int = BATCH_SIZE, per_month: b
         "partner",
         "sku",
         "amount",
-        (F.floor((F.col("rn") - 1) / batch_size) + 1 + F.col("_ahead")).cast("bigint").alias("file_no"),
+        (_div(F.col("rn") - 1, batch_size) + 1 + F.col("_ahead")).alias("file_no"),
     )
 
 
@@ -227,6 +228,11 @@ def reconcile(lines: DataFrame) -> DataFrame:
     )
 
 
+def _div(number: Column, divisor: int) -> Column:
+    """Whole-number division of a non-negative bigint; ``/`` would go through a double."""
+    return F.call_function("div", number, F.lit(divisor).cast("bigint"))
+
+
 def _pick(key: Column, choices: Mapping[str, str]) -> Column:
     """The choice for ``key``, NULL when there is none: a lookup small enough to be an expression."""
     picked = F.lit(None).cast("string")
