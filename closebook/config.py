@@ -60,9 +60,11 @@ def parse_mapping(text: str) -> list[ColumnMapping]:
     """A literal list of (source column, source type, target column, target type)."""
     try:
         rows = ast.literal_eval(text)
-        return [ColumnMapping(*map(str, row)) for row in rows]
-    except (ValueError, SyntaxError, TypeError) as error:
+    except (ValueError, SyntaxError) as error:
         raise ValueError(f"not a list of 4-tuples: {text[:80]}") from error
+    if not all(isinstance(row, tuple) and len(row) == 4 and all(isinstance(v, str) for v in row) for row in rows):
+        raise ValueError(f"not a list of 4-tuples of text: {text[:80]}")
+    return [ColumnMapping(*row) for row in rows]
 
 
 class CloseConfig:

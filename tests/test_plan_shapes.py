@@ -1,0 +1,79 @@
+"""What the physical plans must and must not contain at scale."""
+
+import re
+from datetime import date
+
+import pytest
+
+from closebook.checks.bindings import Bindings
+from closebook.checks.queries import QUERIES, run
+from closebook.operators import journal
+from closebook.sinks.tables import write_partitioned
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def without_broadcasts(spark):
+    """Plans as they are once no table is small; literal tables and run offsets are still broadcast by hint."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_and_no_products(spark, without_broadcasts, name):
+    text = plan(run(name, spark, SF_DIR))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
+        assert operator not in text
+
+
+@pytest.mark.parametrize(
+    "name", sorted(set(QUERIES) - {"business_days", "nth_business_day", "reports_due", "je_stage_batches", "je_files", "option_ranking"})
+)
+def test_no_single_task(spark, without_broadcasts, name):
+    assert "SinglePartition" not in plan(run(name, spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", ["je_stage_batches", "option_ranking"])
+def test_single_task_only_over_runs(spark, name):
+    """One task adds up the run counts, never the rows: its input is grouped by run."""
+    text = plan(run(name, spark, SF_DIR))
+    for found in re.finditer("SinglePartition", text):
+        below = text[found.end():]
+        assert "_run" in below.split("Exchange", 2)[1] or "_run" in below.split("Scan parquet", 1)[0]
+
+
+def test_lines_are_shuffled_for_one_join_only(spark, without_broadcasts):
+    text = plan(Bindings(spark, SF_DIR).revenue_lines())
+    lines = [p for p in text.split("Exchange") if "l_shipdate" in p]
+    assert len(lines) == 1
+
+
+def test_month_filter_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "revenue")
+    revenue = Bindings(spark, SF_DIR).revenue_lines().selectExpr("*", "date_format(reportmonth, 'yyyy-MM') as partition_id")
+    write_partitioned(revenue, path)
+    text = plan(journal.billed_amounts(spark.read.parquet(path), report_month=date(1996, 12, 1)))
+    assert re.search(r"PartitionFilters: \[[^\]]*partition_id[^\]]*1996-12", text)
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(reportmonth,1996-12-01\)", text)
+    assert "Not(In(sku" in text
+
+
+def test_latest_runs_are_cut_before_the_shuffle(spark):
+    text = plan(run("source_freshness", spark, SF_DIR))
+    assert text.count("WindowGroupLimit") == 2
+
+
+def test_scans_read_only_needed_columns(spark):
+    text = plan(run("report_month_window", spark, SF_DIR))
+    assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in text
+
+
+def test_aggregates_combine_before_the_shuffle(spark, without_broadcasts):
+    for name in ("monthly_revenue_report", "npv_by_option", "partition_inventory"):
+        assert "partial_" in plan(run(name, spark, SF_DIR))
