@@ -28,6 +28,7 @@ from closebook.session import configure
 from closebook.sinks.files import write_journal_files
 from closebook.sinks.tables import write_partitioned
 from closebook.sources.files import month_files, read_header_csv
+from closebook.sources.storage import size_of
 from closebook.sources.tables import partition_inventory
 from closebook.workspace import new_path
 
@@ -128,8 +129,8 @@ def _report_table(b: Bindings) -> DataFrame:
     """The report as read back from its partitioned table, after writing it twice."""
     path = new_path(b.spark, "report")
     report = _monthly_revenue_report(b)
-    write_partitioned(report, path)
-    write_partitioned(report, path)
+    for _ in range(2):
+        write_partitioned(report, path, many_partitions=True)
     return b.spark.read.parquet(path)
 
 
@@ -195,4 +196,4 @@ QUERIES: dict[str, Callable[[Bindings], DataFrame]] = {
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES[name](Bindings(configure(spark), sf_dir))
+    return QUERIES[name](Bindings(configure(spark, size_of(spark, sf_dir)), sf_dir))

@@ -42,7 +42,7 @@ def run_processor(spark: SparkSession, config: CloseConfig, processor: str, as_o
         "etl_timestamp", F.current_timestamp()
     )
     path = config.table_path(spec.table)
-    write_partitioned(table, path)
+    write_partitioned(table, path, rows_per_file=0)
     seen = counted.get
     register_table(spark, f"{config.require('nopii_db')}.{spec.table}", table.schema, path, [PARTITION])
     failed = {name.removeprefix("failed_"): n for name, n in seen.items() if name.startswith("failed_") and n}

@@ -17,7 +17,18 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+# Shuffle tasks start this small and are merged by adaptive execution; the count stays within what a driver can track.
+BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
+MAX_SHUFFLE_TASKS = 50_000
+# Columnar files hold about this many times their size in rows.
+EXPANSION = 3
+
+
+def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply the settings; with ``input_bytes`` also size the shuffles for that much columnar input."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    tasks = min(input_bytes * EXPANSION // BYTES_PER_SHUFFLE_TASK, MAX_SHUFFLE_TASKS)
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(tasks))
     return spark

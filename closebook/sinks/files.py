@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,19 +33,20 @@ def write_journal_files(lines: DataFrame, folder: str) -> None:
 
 def name_journal_files(spark: SparkSession, folder: str) -> list[str]:
     """Give the written files their import names ``Billed_JE_<n>.csv``: renames only, no data is read."""
-    fs, root = filesystem(spark, folder)
+    fs, _ = filesystem(spark, folder)
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    named = []
-    for path in list_files(spark, folder, (".csv",)):
-        if "/file_no=" not in path:
-            continue
+
+    def rename(path: str) -> str:
         number = path.rsplit("/file_no=", 1)[1].split("/", 1)[0]
         target = f"{folder.rstrip('/')}/{FILE_NAME}_{number}.csv"
         if not fs.rename(jvm_path(path), jvm_path(target)):
             raise OSError(f"could not rename {path} to {target}")
         fs.delete(jvm_path(path).getParent(), True)
-        named.append(target)
-    return named
+        return target
+
+    written = [path for path in list_files(spark, folder, (".csv",)) if "/file_no=" in path]
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(rename, written))
 
 
 def daily_extract_path(outbox: str, output_path: str, written_at: datetime) -> str:

@@ -9,23 +9,30 @@ ROWS_PER_FILE = 100_000
 
 
 def write_partitioned(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = (PARTITION,)
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    partition_by: tuple[str, ...] = (PARTITION,),
+    rows_per_file: int = ROWS_PER_FILE,
+    many_partitions: bool = False,
 ) -> None:
     """Write the table's partitions that occur in ``df``; ``overwrite`` leaves all others as they are.
 
-    Writing the same month again therefore replaces it. An empty frame changes nothing. The rows are rebalanced so
-    that files come out at a sensible size: small partitions share a task, a large one is split over several.
+    Writing the same month again therefore replaces it. An empty frame changes nothing. A run of one month is written
+    as it comes. With ``many_partitions`` the rows are first rebalanced by partition, so that each is written by few
+    tasks; adaptive execution splits a large one over several. ``rows_per_file`` 0 sets no limit.
     """
+    if many_partitions:
+        df = df.hint("rebalance", *partition_by)
     (
-        df.hint("rebalance", *partition_by)
-        .write.mode(mode)
+        df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
-def write_whole(df: DataFrame, path: str) -> None:
+def write_whole(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Replace an unpartitioned table."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)

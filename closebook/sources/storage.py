@@ -13,6 +13,12 @@ def filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, hadoop_path = filesystem(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def list_files(spark: SparkSession, folder: str, suffixes: tuple[str, ...]) -> list[str]:
     """All files below ``folder`` with one of the suffixes, sorted; none when the folder is missing."""
     fs, path = filesystem(spark, folder)
