@@ -10,7 +10,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closebook.functions.tables import values_table
 from closebook.operators.calendar import date_dimension
 
 STATEMENTS = """
@@ -153,7 +152,4 @@ class Bindings:
 
     def date_dim(self) -> DataFrame:
         """The dates of all months that lines were shipped in."""
-        holidays = values_table(self.spark, [("full_date", "date")], [(day,) for day in HOLIDAYS])
-        return date_dimension(self.table("lineitem"), F.col("l_shipdate").cast("date"), holidays)
-
-
+        return date_dimension(self.table("lineitem"), F.col("l_shipdate"), HOLIDAYS)

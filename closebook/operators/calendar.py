@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -10,20 +11,20 @@ from closebook.config import ReportSpec
 from closebook.functions.dates import month_start, partition_id
 
 
-def date_dimension(days: DataFrame, day: Column, holidays: DataFrame) -> DataFrame:
+def date_dimension(days: DataFrame, day: Column, holidays: Iterable[date]) -> DataFrame:
     """Every date of every month between the first and the last ``day``, with its weekday and holiday flag.
 
-    ``holidays`` has one column ``full_date``. Columns follow the warehouse's date dimension.
+    Columns follow the warehouse's date dimension.
     """
-    bounds = days.agg(month_start(F.min(day)).alias("first"), F.last_day(F.max(day)).alias("last"))
+    first, last = F.min(day).cast("date"), F.max(day).cast("date")
+    bounds = days.agg(month_start(first).alias("first"), F.last_day(last).alias("last"))
     dates = bounds.select(F.explode(F.sequence("first", "last")).alias("full_date"))
-    closed = holidays.select("full_date", F.lit(1).alias("holiday_us_federal_reserve")).distinct()
-    return dates.join(closed, "full_date", "left").select(
+    return dates.select(
         F.date_format("full_date", "yyyyMMdd").cast("int").alias("date_id"),
         F.month("full_date").alias("month_number"),
         "full_date",
         F.date_format("full_date", "EEEE").alias("day_of_week"),
-        F.coalesce("holiday_us_federal_reserve", F.lit(0)).alias("holiday_us_federal_reserve"),
+        F.when(F.col("full_date").isin(*holidays), 1).otherwise(0).alias("holiday_us_federal_reserve"),
     )
 
 

@@ -12,6 +12,8 @@ SETTINGS = {
     # A join on one column must not make a later aggregate on more columns reuse its
     # partitioning: one hot join key would then be aggregated by a single task.
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    # A join whose build side is this small in every task hashes it instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Failed casts are handled by try_cast, everything else should fail loudly.
     "spark.sql.ansi.enabled": "true",
 }

@@ -11,8 +11,7 @@ from closebook.plans.report import is_due
 
 def dim(spark, first, last, holidays=()):
     days = values_table(spark, [("day", "date")], [(first,), (last,)])
-    closed = values_table(spark, [("full_date", "date")], [(h,) for h in holidays])
-    return date_dimension(days, F.col("day"), closed)
+    return date_dimension(days, F.col("day"), holidays)
 
 
 @pytest.fixture(scope="module")
