@@ -19,6 +19,7 @@ from closebook.plans.journal import run_journal
 from closebook.plans.processor import run_processor
 from closebook.plans.report import run_report
 from closebook.session import configure
+from closebook.workspace import clear
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -50,6 +51,7 @@ def main(arguments: list[str] | None = None) -> None:
         revenue = spark.table(config.get("revenue_table", f"{database}.monthly_rpt_cash_billed_revenue"))
         products = spark.table(config.get("product_table", "product_sku_dim"))
         result = run_journal(spark, config, revenue, products, options.as_of)
+    clear(spark)
     print(result)
 
 

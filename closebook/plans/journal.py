@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from closebook.config import CloseConfig
-from closebook.functions.dates import previous_month
+from closebook.functions.dates import partition_of, previous_month
 from closebook.operators.journal import (
     BATCH_SIZE,
     billed_amounts,
@@ -55,7 +55,9 @@ def run_journal(
     control = control_totals(stage).withColumn("etl_timestamp", F.current_timestamp())
     control_path = config.table_path(CONTROL_TABLE)
     write_partitioned(control, control_path)
-    register_table(spark, f"{database}.{CONTROL_TABLE}", control.schema, control_path, [PARTITION])
+    register_table(
+        spark, f"{database}.{CONTROL_TABLE}", control.schema, control_path, [PARTITION], [partition_of(month)]
+    )
 
     lines = journal_lines(stage, products)
     totals = reconcile(lines).agg(

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Observation, SparkSession, functions as F
 
 from closebook.config import CloseConfig
-from closebook.functions.dates import previous_month
+from closebook.functions.dates import partition_of, previous_month
 from closebook.operators.mapping import add_metadata, apply_mapping, failed_casts
 from closebook.sinks.catalog import register_table
 from closebook.sinks.tables import PARTITION, write_partitioned
@@ -44,6 +44,7 @@ def run_processor(spark: SparkSession, config: CloseConfig, processor: str, as_o
     path = config.table_path(spec.table)
     write_partitioned(table, path, rows_per_file=0)
     seen = counted.get
-    register_table(spark, f"{config.require('nopii_db')}.{spec.table}", table.schema, path, [PARTITION])
+    name = f"{config.require('nopii_db')}.{spec.table}"
+    register_table(spark, name, table.schema, path, [PARTITION], [partition_of(month)])
     failed = {name.removeprefix("failed_"): n for name, n in seen.items() if name.startswith("failed_") and n}
     return ProcessorRun(processor, WRITTEN, len(files), seen["rows"], failed, path)

@@ -11,11 +11,17 @@ from closebook.functions.tables import literal
 
 
 def register_table(
-    spark: SparkSession, table: str, schema: StructType, location: str, partition_by: Iterable[str] = ()
+    spark: SparkSession,
+    table: str,
+    schema: StructType,
+    location: str,
+    partition_by: Iterable[str] = (),
+    written: Iterable[str] | None = None,
 ) -> None:
-    """Create the external table, or replace its definition when it exists; the files are never touched.
+    """Create the external table, or replace its definition when it differs; the files are never touched.
 
-    Partition keys are text and come last, whatever type they have in ``schema``.
+    Partition keys are text and come last, whatever type they have in ``schema``. ``written`` names the values of the
+    only key that were just written; a known table then adds these alone instead of listing its whole location.
     """
     keys = list(partition_by)
     fields = [(f.name, f.dataType.simpleString()) for f in schema if f.name not in keys]
@@ -31,8 +37,11 @@ def register_table(
         exists = False
     if not exists:
         spark.sql(f"create table {table} ({columns}) using parquet {partitioned} location {literal(location)}")
-    if keys:
+    if exists and keys and written is not None:
+        add_partitions(spark, table, location, keys[0], written)
+    elif keys:
         spark.sql(f"msck repair table {table}")
+    spark.catalog.refreshTable(table)
 
 
 def _defined_as(spark: SparkSession, table: str, fields: list[tuple[str, str]], location: str) -> bool:

@@ -10,6 +10,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from closebook.sources.storage import filesystem
+
+_created: list[str] = []
+
 
 def folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a temporary one only for local sessions without it."""
@@ -24,7 +28,16 @@ def folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{folder(spark)}/closebook/{name}-{uuid.uuid4().hex}"
+    path = f"{folder(spark)}/closebook/{name}-{uuid.uuid4().hex}"
+    _created.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this process stored. Frames that read it must be done with by then."""
+    while _created:
+        fs, path = filesystem(spark, _created.pop())
+        fs.delete(path, True)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

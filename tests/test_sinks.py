@@ -72,6 +72,24 @@ def test_register_update_and_list(spark, tmp_path):
     }
 
 
+def test_known_table_adds_what_was_written(spark, tmp_path):
+    path, table = str(tmp_path / "t"), "sinks_db.monthly"
+    for month in ("2024-01", "2024-02", "2024-02"):
+        df = months(spark, (month, 1))
+        write_partitioned(df, path)
+        register_table(spark, table, df.schema, path, ["partition_id"], [month])
+        assert spark.table(table).where(f"partition_id = '{month}'").count() == 1
+    assert partition_values(spark, table) == ["2024-01", "2024-02"]
+
+
+def test_replaced_files_are_seen(spark, tmp_path):
+    path, table = str(tmp_path / "t"), "sinks_db.stage"
+    for n in (3, 5):
+        write_whole(spark.range(n), path)
+        register_table(spark, table, spark.range(1).schema, path)
+        assert spark.table(table).count() == n
+
+
 def test_add_partitions(spark, tmp_path):
     path, table = str(tmp_path / "t"), "sinks_db.manual"
     df = months(spark, ("2024-01", 1))
