@@ -43,12 +43,13 @@ def sorted_runs(
 def place(rows: DataFrame, runs: DataFrame, scope: Sequence[str], *extra: str) -> DataFrame:
     """Rows with their row number ``rn`` and the ``extra`` columns of their run.
 
-    ``runs`` may be broadcast at any scale: it has one row per sort partition and scope in it, so its size follows
-    the number of sort tasks, not the number of rows.
+    ``runs`` has one row per sort partition and scope in it, so its size follows the number of sort tasks and scopes, not
+    the number of rows. It is stored as well: Catalyst then knows its true size and broadcasts it only below its
+    threshold; with very many scopes the join becomes an ordinary one.
     """
     keys = [_RUN, *scope]
-    theirs = runs.select(*[F.col(c).alias(f"_of{c}") for c in keys], "_shift", *extra)
-    return rows.join(F.broadcast(theirs), _same(keys)).withColumn("rn", F.col(_SLOT) + F.col("_shift"))
+    theirs = store(runs.select(*[F.col(c).alias(f"_of{c}") for c in keys], "_shift", *extra), "runs")
+    return rows.join(theirs, _same(keys)).withColumn("rn", F.col(_SLOT) + F.col("_shift"))
 
 
 def row_numbers(df: DataFrame, order_by: Sequence[str | Column], scope: Sequence[str] = ()) -> DataFrame:

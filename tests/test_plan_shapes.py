@@ -32,20 +32,28 @@ def test_no_python_and_no_products(spark, without_broadcasts, name):
         assert operator not in text
 
 
-@pytest.mark.parametrize(
-    "name", sorted(set(QUERIES) - {"business_days", "nth_business_day", "reports_due", "je_stage_batches", "je_files", "option_ranking"})
-)
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"business_days", "nth_business_day", "reports_due"}))
 def test_no_single_task(spark, without_broadcasts, name):
+    """Only the calendar has one: it adds up the first and the last date of all tasks."""
     assert "SinglePartition" not in plan(run(name, spark, SF_DIR))
 
 
-@pytest.mark.parametrize("name", ["je_stage_batches", "option_ranking"])
-def test_single_task_only_over_runs(spark, name):
-    """One task adds up the run counts, never the rows: its input is grouped by run."""
+@pytest.mark.parametrize("name", ["business_days", "reports_due"])
+def test_single_task_only_over_date_bounds(spark, name):
     text = plan(run(name, spark, SF_DIR))
-    for found in re.finditer("SinglePartition", text):
-        below = text[found.end():]
-        assert "_run" in below.split("Exchange", 2)[1] or "_run" in below.split("Scan parquet", 1)[0]
+    assert text.count("SinglePartition") == 1
+    below = text[text.index("SinglePartition") :]
+    assert "partial_min" in below and "partial_max" in below
+
+
+def test_numbering_sorts_over_many_tasks(spark):
+    """The written sort is by ranges of the full key, and the run totals are broadcast because they are small."""
+    amounts = journal.billed_amounts(Bindings(spark, SF_DIR).revenue_lines())
+    keys = ["partner", "sku", "payment_date", "organization_id", "report_month"]
+    assert re.search(r"Exchange rangepartitioning\(partner\S* ASC NULLS FIRST, sku", plan(amounts.orderBy(*keys)))
+    text = plan(run("je_stage_batches", spark, SF_DIR))
+    assert "BroadcastHashJoin" in text
+    assert "Window" not in text
 
 
 def test_lines_are_shuffled_for_one_join_only(spark, without_broadcasts):
