@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from closebook.checks.queries import QUERIES
 from tools.compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -14,10 +15,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, con, name):
     assert compare(spark, con, SF_DIR, name) is None
 
