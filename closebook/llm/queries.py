@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closebook.llm import mixing, sharding, token_output
+from closebook.llm import language, mixing, near_join, sharding, token_output
 from closebook.llm.common import table
 from closebook.workspace import new_path
 
@@ -15,6 +15,10 @@ END_ID = 2
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
+def op1_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_duplicates(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.assign_shards(docs, "doc_id", SHARDS).select("doc_id", "slot", "shard")
@@ -33,8 +37,18 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language.held_out(F.col("doc_id"))
+    model = language.train(docs.where(~out))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_join": op1_near_join,
     "op4_sharding": op4_sharding,
     "op7_token_output": op7_token_output,
     "op8_mixing": op8_mixing,
+    "op10_language": op10_language,
 }
