@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closebook.llm import language, mixing, near_join, sharding, token_output
+from closebook.llm import decontaminate, language, mixing, near_join, sharding, token_output
 from closebook.llm.common import table
 from closebook.workspace import new_path
 
@@ -24,6 +24,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", SHARDS).select("doc_id", "slot", "shard")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -48,6 +52,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_join": op1_near_join,
     "op4_sharding": op4_sharding,
+    "op5_decontaminate": op5_decontaminate,
     "op7_token_output": op7_token_output,
     "op8_mixing": op8_mixing,
     "op10_language": op10_language,
