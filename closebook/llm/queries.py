@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closebook.llm import decontaminate, language, mixing, near_join, sharding, token_output
+from closebook.llm import decontaminate, language, mixing, near_join, sharding, token_output, top_k, url_filter
 from closebook.llm.common import table
 from closebook.workspace import new_path
 
@@ -19,6 +19,24 @@ def op1_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.near_duplicates(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"))
+
+
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.assign_shards(docs, "doc_id", SHARDS).select("doc_id", "slot", "shard")
@@ -51,6 +69,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_join": op1_near_join,
+    "op2_top_k": op2_top_k,
+    "op3_url_filter": op3_url_filter,
     "op4_sharding": op4_sharding,
     "op5_decontaminate": op5_decontaminate,
     "op7_token_output": op7_token_output,
