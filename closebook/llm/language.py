@@ -187,8 +187,3 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
 def _with_letters(text: Column) -> Column:
     """The text, or null where it has no letter."""
     return F.when(text.rlike(r"\p{L}"), text)
-
-
-def held_out(doc_id: Column, folds: int = 5) -> Column:
-    """Whether a row is left out of learning: the CRC-32 of its id as text is a multiple of ``folds``."""
-    return F.coalesce(F.crc32(doc_id.cast("string")) % folds == 0, F.lit(False))

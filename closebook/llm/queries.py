@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closebook.llm import decontaminate, language, mixing, near_join, sharding, token_output, top_k, url_filter
-from closebook.llm.common import table
+from closebook.llm import decontaminate, language, mixing, near_join, sharding, token_output, top_k, toxicity, url_filter
+from closebook.llm.common import held_out, table
 from closebook.workspace import new_path
 
 END_ID = 2
@@ -59,9 +59,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    out = held_out(F.col("doc_id"))
+    network = toxicity.train(docs.where(~out), labels.where(~out))
+    scored = toxicity.score(docs, network)
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    out = language.held_out(F.col("doc_id"))
+    out = held_out(F.col("doc_id"))
     model = language.train(docs.where(~out))
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "ambiguous")
@@ -75,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op7_token_output": op7_token_output,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
 }

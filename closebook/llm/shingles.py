@@ -36,20 +36,28 @@ _LOWER[65:91] += 32
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of every ASCII-lowered word (run of non-blank bytes), and the number of words of each text."""
+    _, _, _, hashes, counts = words_of(texts, _BLANK)
+    return hashes, counts
+
+
+def words_of(texts: list[str | None], blank_bytes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The ASCII-lowered bytes of all texts, where words start and end in them, the words' hashes, and the number of
+    words of each text; ``blank_bytes`` says of each byte whether it separates words (a space must)."""
     parts = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b" ".join(parts) + b" ", dtype=np.uint8)
-    blank = _BLANK[data]
+    blank = blank_bytes[data]
+    data = _LOWER[data]
     edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64), np.zeros(len(texts), dtype=np.int64)
+        return data, starts, ends, np.zeros(0, dtype=np.uint64), np.zeros(len(texts), dtype=np.int64)
     # Hash of bytes b at places i: the sum of (b + 1) * base^i, made independent of the place by the inverse.
-    sums = np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data)))
+    sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data)))
     before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
     hashes = (sums[ends - 1] - before) * _powers(_INVERSE, len(data))[starts]
     hashes = mix64(hashes ^ mix64((ends - starts).astype(np.uint64)))
     stops = np.cumsum([len(p) + 1 for p in parts])
-    return hashes, np.diff(np.searchsorted(starts, stops), prepend=0)
+    return data, starts, ends, hashes, np.diff(np.searchsorted(starts, stops), prepend=0)
 
 
 def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray]:
