@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closebook.llm import decontaminate, language, mixing, near_join, sharding, token_output, top_k, toxicity, url_filter
+from closebook.llm import decontaminate, language, mixing, near_join, sharding, substring_dedup, token_output, top_k, toxicity, url_filter
 from closebook.llm.common import held_out, table
 from closebook.workspace import new_path
 
@@ -46,6 +46,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_sharding": op4_sharding,
     "op5_decontaminate": op5_decontaminate,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_token_output": op7_token_output,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,

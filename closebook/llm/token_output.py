@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from closebook.llm.common import prepared, slices
+from closebook.llm.common import prepared, slices, store
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -60,6 +60,8 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.tails = {t: i + 1 for i, t in enumerate(".,")}
+        self.tail_ids = {t: np.array(e.ids, dtype=np.int32) for t, e in zip(self.tails, self._batch(list(self.tails)), strict=True)}
         self._reset()
 
     def _reset(self) -> None:
@@ -71,61 +73,89 @@ class WordEncoder:
         """All ids one after another, with the end id after each text, and the number of ids of each text."""
         if len(self.codes) > self.known:
             self._reset()
-        pieces = [[t] if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        counts = np.fromiter((len(p) for p in pieces), dtype=np.int64, count=len(pieces))
-        total = int(counts.sum())
-        found = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=total)
+        pieces = [self._pieces(t) for t in texts]
+        counts = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        found = np.fromiter(
+            map(self.codes.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=int(counts.sum())
+        )
         if self.codes.new:
             self._learn(self.codes.take())
         ends = np.cumsum(counts)
-        codes = np.insert(found, ends, 0)
-        ids, lengths = self._tables()
-        starts = np.cumsum(lengths) - lengths
-        sizes = lengths[codes]
-        stops = np.cumsum(sizes)
-        place = np.repeat(starts[codes] - (stops - sizes), sizes) + np.arange(int(stops[-1]) if len(stops) else 0)
-        last = stops[ends + np.arange(len(ends))]
-        return ids[place], np.diff(last, prepend=0)
+        values, sizes = _gather(*self._tables(), np.insert(found, ends, 0))
+        return values, np.diff(np.cumsum(sizes)[ends + np.arange(len(ends))], prepend=0)
+
+    @staticmethod
+    def _pieces(text: str) -> list[str]:
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return [text]
+        if "<|" in text:  # may hold a special token, whose case matters
+            return text.split()
+        # Lowering ASCII letters commutes with composing characters and with the tokenizer's own lower case.
+        return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass").split()
 
     def _tables(self) -> tuple[np.ndarray, np.ndarray]:
         self.ids, self.lengths = [np.concatenate(self.ids)], [np.concatenate(self.lengths)]
         return self.ids[0], self.lengths[0]
 
     def _learn(self, pieces: list[str]) -> None:
-        # A word of ASCII-lowered letters and one final comma or full stop share their ids with other such words.
-        split = [self._stem(p) for p in pieces]
-        wanted = list(dict.fromkeys(chain.from_iterable(split)))
-        ids = dict(zip(wanted, self._encode_pieces(wanted), strict=True))
-        rows = [ids[s[0]] if len(s) == 1 else ids[s[0]] + ids[s[1]] for s in split]
-        self.lengths.append(np.fromiter(map(len, rows), dtype=np.int64, count=len(rows)))
-        self.ids.append(np.fromiter(chain.from_iterable(rows), dtype=np.int32))
-
-    @staticmethod
-    def _stem(piece: str) -> tuple[str, ...]:
-        if piece[-1] in ".," and piece[:-1].isalpha():
-            return _lower(piece[:-1]), piece[-1]
-        return (_lower(piece),) if piece.isalpha() else (piece,)
-
-    def _encode_pieces(self, pieces: list[str], together: int = 500) -> list[list[int]]:
+        """Encode new pieces. Letters and one final comma or full stop are token groups of their own, so that words
+        share their ids with and without it."""
+        stems: dict[str, int] = {}
+        at, tails = [], []
+        for piece in pieces:
+            tail = self.tails.get(piece[-1:], 0)
+            if tail and piece[:-1].isalpha():
+                piece = piece[:-1]
+            else:
+                tail = 0
+            tails.append(tail)
+            at.append(stems.setdefault(piece, len(stems)))
+        ids, lengths = self._encode_pieces(list(stems))
+        # Twice as many parts: a stem, then its tail or nothing.
+        ids = np.concatenate([ids, *self.tail_ids.values()])
+        lengths = np.concatenate([lengths, [len(t) for t in self.tail_ids.values()], [0]])
+        parts = np.empty(2 * len(pieces), dtype=np.int64)
+        parts[::2] = at
+        tails = np.array(tails, dtype=np.int64)
+        parts[1::2] = np.where(tails > 0, len(stems) + tails - 1, len(lengths) - 1)
+        values, sizes = _gather(ids, lengths, parts)
+        self.ids.append(values.astype(np.int32))
+        self.lengths.append(sizes[::2] + sizes[1::2])
+
+    def _encode_pieces(self, pieces: list[str], together: int = 500) -> tuple[np.ndarray, np.ndarray]:
         """Words of letters are encoded many at once where a word's last token says so; all others one by one."""
-        out: dict[str, list[int]] = {}
-        words = [p for p in pieces if p.isalpha()]
+        words = [i for i, p in enumerate(pieces) if p.isalpha()]
+        rest = [i for i, p in enumerate(pieces) if not p.isalpha()]
+        done, ids, lengths = [], [], []
         groups = [words[i : i + together] for i in range(0, len(words), together)]
-        for group, got in zip(groups, self._batch([" ".join(g) for g in groups]), strict=True):
-            ids = got.ids
-            cuts = [0, *(np.flatnonzero(self.ends_word[ids]) + 1).tolist()]
-            if len(cuts) == len(group) + 1 and cuts[-1] == len(ids):
-                out.update((w, ids[a:b]) for w, a, b in zip(group, cuts, cuts[1:]))
+        for group, got in zip(groups, self._batch([" ".join([pieces[i] for i in g]) for g in groups]), strict=True):
+            own = np.array(got.ids, dtype=np.int32)
+            cuts = np.flatnonzero(self.ends_word[own]) + 1
+            if len(cuts) == len(group) and cuts[-1] == len(own):
+                done.extend(group)
+                ids.append(own)
+                lengths.append(np.diff(cuts, prepend=0))
             else:
-                out.update(zip(group, (e.ids for e in self._batch(group)), strict=True))
-        rest = [p for p in pieces if p not in out]
-        out.update(zip(rest, (e.ids for e in self._batch(rest)), strict=True))
-        return [out[p] for p in pieces]
+                rest.extend(group)
+        alone = [e.ids for e in self._batch([pieces[i] for i in rest])]
+        ids.append(np.fromiter(chain.from_iterable(alone), dtype=np.int32))
+        lengths.append(np.fromiter(map(len, alone), dtype=np.int64, count=len(alone)))
+        place = np.empty(len(pieces), dtype=np.int64)
+        place[done + rest] = np.arange(len(pieces))
+        return _gather(np.concatenate(ids), np.concatenate(lengths), place)
 
     def _batch(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
 
 
+def _gather(values: np.ndarray, lengths: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The picked runs of ``values`` one after another, and their lengths."""
+    starts = np.cumsum(lengths) - lengths
+    sizes = lengths[picked]
+    stops = np.cumsum(sizes)
+    return values[np.repeat(starts[picked] - (stops - sizes), sizes) + np.arange(int(sizes.sum()))], sizes
+
+
 class _Codes(dict):
     """Piece to code; unknown pieces get the next code and are remembered as new. Code 0 is the end id."""
 
@@ -144,11 +174,6 @@ class _Codes(dict):
         return new
 
 
-def _lower(word: str) -> str:
-    """ASCII letters only: that commutes with composing characters and with the tokenizer's own lower case."""
-    return word.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-
-
 _encoders: dict[tuple, WordEncoder] = {}
 
 
@@ -192,7 +217,8 @@ def read_tokens(spark: SparkSession, path: str, tokens: bool = True) -> DataFram
     One sum per written file gives the files' own starts.
     """
     rows = spark.read.parquet(path)
-    starts = _starts(rows.groupBy("part").agg(F.sum("n_tokens").alias("ids")))
+    # Stored, so that its size is known: small enough, it is broadcast, and the token lists stay where they are.
+    starts = store(_starts(rows.groupBy("part").agg(F.sum("n_tokens").alias("ids"))), "token-starts")
     out = rows.join(starts, "part").withColumn("start", F.col("base") + F.col("part_start"))
     return out.select("doc_id", "start", "n_tokens", *(["token_ids"] if tokens else []))
 
