@@ -33,7 +33,7 @@ from closebook.llm.common import prepared, slices, store
 from closebook.llm.components import components
 from closebook.llm.shingles import mix64, shingle_sets
 
-HOT = 32  # a token of so many prefixes is hot
+HOT = 4  # a token of so many prefixes is hot
 MOST_HOT = 1 << 18  # hot tokens, at most: 2 MB for each Python worker; beyond, the limit is doubled
 LEADERS = 8
 VERIFY_ROWS = 64  # rows of an Arrow batch with token arrays
@@ -182,22 +182,31 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     prepared(docs.sparkSession)
+    # The ids that step 2 keeps also filter the texts before these are shuffled, by a Bloom filter of bounded size.
+    docs.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    docs.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = store(set_heads(texts, width, num, den), "near-sets")
     mark = ["n_shingles", "f1", "f2"]
+    # Sets are made twice, here and for the members at the end: dearer than storing all prefixes, but far less to store.
+    sets = set_heads(texts, width, num, den)
     some = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = store(some.groupBy(*mark).agg(F.min("doc_id").alias("rep"), F.first("head").alias("head")), "near-classes")
 
-    tokens = classes.select("rep", "n_shingles", F.explode("head").alias("token"))
+    tokens = classes.select("rep", F.explode("head").alias("token"))
     counted = tokens.groupBy("token").agg(F.count("*").alias("n"))
     shared = store(counted.where("n > 1"), "near-shared")
-    least = F.ceil(F.col("n_shingles") * num / den)
-    need = F.floor(least / 10) + 1
-    hits = tokens.join(shared.select("token"), "token").groupBy("rep", "n_shingles").agg(F.count("*").alias("hits"))
-    kept = store(hits.where(F.col("hits") >= need).select(F.col("rep").alias("doc_id")).distinct(), "near-kept")
-
-    full = store(ordered_prefixes(texts.join(kept, "doc_id", "left_semi"), hot_tokens(shared), width, num, den).where("n > 0"), "near-full")
-    links = store(leader_links(full, "p2", num, den).unionAll(leader_links(full, "p3", num, den)), "near-links")
+    hits = tokens.join(shared.select("token"), "token").groupBy("rep").agg(F.count("*").alias("hits"))
+    need = F.floor(F.ceil(F.col("n_shingles") * num / den) / 10) + 1
+    hits = hits.join(classes.select("rep", need.alias("need")), "rep").groupBy(F.col("rep").alias("doc_id"))
+    hits = store(hits.agg(F.max(F.col("hits") - F.col("need")).alias("over")), "near-hits")
+
+    kept = texts.join(hits.where("over >= 0"), "doc_id", "left_semi")
+    full = store(ordered_prefixes(kept, hot_tokens(shared), width, num, den).where("n > 0"), "near-full")
+    links = store(leader_links(full, "p2", num, den), "near-links")
+    comps = store(components(links), "near-components")
+    # Leaders of another order, where a first token still has sets of several components.
+    open_ids = store(unsettled(full, comps, "p3"), "near-open")
+    links = store(links.unionAll(leader_links(full.join(open_ids, "id", "left_semi"), "p3", num, den)), "near-links")
     comps = store(components(links), "near-components")
     pairs = store(cross_candidates(full, comps, num, den), "near-candidates")
     one = full.select(F.col("id").alias("a"), "tokens")
@@ -207,3 +216,11 @@ def near_duplicates(
     joined = components(links.unionAll(more)).withColumnRenamed("id", "rep")
     members = sets.select("doc_id", *mark).join(classes.select("rep", *mark), mark, "left").join(joined, "rep", "left")
     return members.select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+
+
+def unsettled(full: DataFrame, comps: DataFrame, prefix: str) -> DataFrame:
+    """``id`` of the sets whose first token in an order has sets of several components."""
+    placed = full.select("id", F.element_at(prefix, 1).alias("key")).join(comps, "id", "left")
+    placed = placed.select("id", "key", F.coalesce("component", "id").alias("comp"))
+    several = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
+    return placed.join(several, "key", "left_semi").select("id")
