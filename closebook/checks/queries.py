@@ -190,6 +190,9 @@ QUERIES: dict[str, Callable[[Bindings], DataFrame]] = {
     "inflated_cashflows": lambda b: capital.inflated_cash_flows(_flows(b), GROWTH),
     "typed_assumptions": lambda b: capital.typed_assumptions(b.view(ASSUMPTIONS)),
     "option_ranking": lambda b: capital.rank_options(capital.eac_by_option(_flows(b), RATE)),
+    "recommended_options": lambda b: capital.recommended_options(
+        _flows(b), capital.typed_assumptions(b.view(ASSUMPTIONS)), TAX_RATE
+    ),
     "scenario_npv": lambda b: capital.scenario_npv(_flows(b), SCENARIOS).drop("horizon"),
     "scenario_ranking": lambda b: capital.rank_options(capital.scenario_eac(_flows(b), SCENARIOS)),
 }

@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from closebook.functions.tables import values_table
 
 LEDGER = "decimal(33,2)"
-# Widest money and factor types whose product still fits 38 digits without losing scale.
-FLOW = "decimal(22,2)"
-FACTOR = "decimal(14,12)"
+# Money and factor types whose product keeps all of its decimals within 38 digits.
+FLOW = "decimal(19,2)"
+FACTOR = "decimal(18,12)"
+# A rate or growth per period, as a share.
+RATE = "decimal(9,8)"
 
 _TWELVE = Decimal("0.000000000001")
-MAX_PERIODS = 100
 
 
 def ledger_sum(amount: Column) -> Column:
@@ -44,33 +45,36 @@ def annuity_factor(rate: Decimal, periods: int) -> Decimal:
         return factor.quantize(_TWELVE, ROUND_HALF_UP)
 
 
-def discount_table(spark: SparkSession, rates: Mapping[str, Decimal], periods: int = MAX_PERIODS) -> DataFrame:
-    """(scenario_id, t, factor) for t = 0..periods."""
-    return values_table(
-        spark,
-        [("scenario_id", "string"), ("t", "int"), ("factor", FACTOR)],
-        [(name, t, discount_factor(rate, t)) for name, rate in rates.items() for t in range(periods + 1)],
-    )
+def scenario_table(spark: SparkSession, rates: Mapping[str, Decimal] | DataFrame) -> DataFrame:
+    """(scenario_id, rate): a table of scenarios as it is given, or made of named rates."""
+    if isinstance(rates, DataFrame):
+        return rates.select(F.col("scenario_id").cast("string"), F.col("rate").cast(RATE))
+    return values_table(spark, [("scenario_id", "string"), ("rate", RATE)], rates.items())
 
 
-def annuity_table(spark: SparkSession, rates: Mapping[str, Decimal], periods: int = MAX_PERIODS) -> DataFrame:
-    """(scenario_id, horizon, annuity) for horizon = 1..periods."""
-    return values_table(
-        spark,
-        [("scenario_id", "string"), ("horizon", "int"), ("annuity", FACTOR)],
-        [(name, n, annuity_factor(rate, n)) for name, rate in rates.items() for n in range(1, periods + 1)],
-    )
+def _compounded(t: Column, start: str, step) -> Column:
+    """``step`` applied t times to 1; NULL for a missing or negative t."""
+    periods = F.when(t > 0, F.sequence(F.lit(1), t)).when(t == 0, F.array().cast("array<int>"))
+    return F.aggregate(periods, F.lit(1).cast(start), lambda value, _: step(value).cast(start))
 
 
-def growth_table(spark: SparkSession, rate: Decimal, periods: int = MAX_PERIODS) -> DataFrame:
-    """(t, growth) for t = 0..periods."""
-    return values_table(
-        spark,
-        [("t", "int"), ("growth", FACTOR)],
-        [(t, growth_factor(rate, t)) for t in range(periods + 1)],
-    )
+def discount_factor_at(rate: Column, t: Column) -> Column:
+    """(1 + rate)^-t, by repeated division with more decimals than a factor has."""
+    return _compounded(t, "decimal(38,30)", lambda value: value / (1 + rate).cast(RATE)).cast(FACTOR)
+
+
+def growth_factor_at(rate: Column, t: Column) -> Column:
+    """(1 + rate)^t, by repeated multiplication."""
+    return _compounded(t, "decimal(38,22)", lambda value: value * (1 + rate).cast(RATE)).cast(FACTOR)
+
+
+def annuity_factor_at(rate: Column, periods: Column) -> Column:
+    """The equal yearly payment per unit of present value over ``periods`` of at least one."""
+    value = _compounded(periods, "decimal(38,30)", lambda value: value / (1 + rate).cast(RATE))
+    even = F.lit(1).cast("decimal(20,12)") / periods
+    return F.when(rate == 0, even.cast(FACTOR)).otherwise((rate / (1 - value).cast("decimal(28,20)")).cast(FACTOR))
 
 
 def required(value: Column, message: str) -> Column:
-    """``value``, or a failed job when a lookup found none: a missing factor must not drop or blank a row."""
+    """``value``, or a failed job when there is none: a missing factor must not drop or blank a row."""
     return F.when(value.isNull(), F.raise_error(F.lit(message)).cast(FACTOR)).otherwise(value)

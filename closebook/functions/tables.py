@@ -8,9 +8,6 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Larger parameter sets belong in a stored table.
-MAX_LITERAL_ROWS = 20_000
-
 
 def literal(value) -> str:
     """A Spark SQL literal for a Python value."""
@@ -38,8 +35,6 @@ def wall_clock(moment: datetime) -> Column:
 def values_table(spark: SparkSession, schema: Sequence[tuple[str, str]], rows: Iterable[Sequence]) -> DataFrame:
     """A local relation, so Catalyst knows its exact size and may fold or broadcast it."""
     rows = list(rows)
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"{len(rows)} literal rows; store this as a table instead")
     columns = ", ".join(f"cast(`{name}` as {kind}) as `{name}`" for name, kind in schema)
     names = ", ".join(f"`{name}`" for name, _ in schema)
     tuples = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)

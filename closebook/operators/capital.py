@@ -10,16 +10,17 @@ from pyspark.sql import DataFrame, functions as F
 from closebook.functions.money import (
     FLOW,
     LEDGER,
-    MAX_PERIODS,
-    annuity_table,
-    discount_table,
-    growth_table,
+    RATE,
+    annuity_factor_at,
+    discount_factor_at,
+    growth_factor_at,
     required,
+    scenario_table,
 )
 from closebook.functions.text import assumption_amount, assumption_unit
 from closebook.operators.ordering import ranks
 
-RATE = "decimal(6,4)"
+TAX = "decimal(6,4)"
 BASE = "base"
 
 
@@ -36,18 +37,23 @@ def flows_by_period(cash_flows: DataFrame) -> DataFrame:
     return cash_flows.groupBy("option_id", "t").agg(F.sum("amount").cast(FLOW).alias("amount"))
 
 
-def inflated_cash_flows(cash_flows: DataFrame, growth: Decimal, periods: int = MAX_PERIODS) -> DataFrame:
+def _periods(cash_flows: DataFrame) -> DataFrame:
+    """Every period that occurs, once: factors are worked out for these and joined."""
+    return cash_flows.select("t").distinct()
+
+
+def inflated_cash_flows(cash_flows: DataFrame, growth: Decimal) -> DataFrame:
     """Each flow with its value at the price level of its period."""
-    factors = growth_table(cash_flows.sparkSession, growth, periods)
-    inflated = F.col("amount").cast(FLOW) * required(F.col("growth"), "period outside the growth table")
-    return cash_flows.join(F.broadcast(factors), "t", "left").select(
+    factors = _periods(cash_flows).withColumn("growth", growth_factor_at(F.lit(growth).cast(RATE), F.col("t")))
+    inflated = F.col("amount").cast(FLOW) * required(F.col("growth"), "a flow without a period from 0 on")
+    return cash_flows.join(factors, "t", "left").select(
         "option_id", "t", "amount", inflated.cast(LEDGER).alias("inflated")
     )
 
 
 def after_tax_cash_flows(cash_flows: DataFrame, tax_rate: Decimal) -> DataFrame:
     """Each taxable or deductible flow net of tax."""
-    kept = F.lit(1 - tax_rate).cast(RATE)
+    kept = F.lit(1 - tax_rate).cast(TAX)
     return cash_flows.withColumn("after_tax", (F.col("amount").cast(FLOW) * kept).cast(LEDGER))
 
 
@@ -55,62 +61,74 @@ def tax_shield_cash_flows(assets: DataFrame, tax_rate: Decimal) -> DataFrame:
     """Straight-line depreciation over each asset's life, and the tax it saves.
 
     ``assets`` has asset_id, price and life (years). Cents that do not divide evenly fall into the last year, so the
-    depreciation of an asset adds up to its price.
+    depreciation of an asset adds up to its price. An asset without a life of a year or more keeps one row, without a
+    year and amounts, so that it is not lost unseen.
     """
     cents = (F.col("price").cast(FLOW) * 100).cast("bigint")
     life = F.col("life").cast("bigint")
-    yearly = assets.where(F.col("life") >= 1).select(
-        "asset_id",
-        cents.alias("_cents"),
-        life.alias("_life"),
-        F.explode(F.sequence(F.lit(1), F.col("life").cast("int"))).alias("t"),
-    )
-    even = F.expr("_cents div _life")
+    years = F.when(life >= 1, F.sequence(F.lit(1), F.col("life").cast("int")))
+    yearly = assets.select("asset_id", cents.alias("_cents"), life.alias("_life"), F.explode_outer(years).alias("t"))
+    even = F.expr("_cents div nullif(_life, 0)")
     rest = F.when(F.col("t") == F.col("_life"), F.expr("_cents % _life")).otherwise(F.lit(0))
     depreciation = ((even + rest).cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(20,2)")
+    depreciation = F.when(F.col("t").isNotNull(), depreciation)
     return yearly.select("asset_id", "t", depreciation.alias("depreciation")).withColumn(
-        "shield", (F.col("depreciation") * F.lit(tax_rate).cast(RATE)).cast(LEDGER)
+        "shield", (F.col("depreciation") * F.lit(tax_rate).cast(TAX)).cast(LEDGER)
     )
 
 
-def scenario_npv(cash_flows: DataFrame, rates: Mapping[str, Decimal], periods: int = MAX_PERIODS) -> DataFrame:
-    """Net present value of every option in every scenario, with the option's horizon (its last period).
+def _valued(cash_flows: DataFrame, rates: Mapping[str, Decimal] | DataFrame) -> DataFrame:
+    """Net present value of every option in every scenario, with the scenario's rate and the option's last period.
 
     Flows are totalled per option and period first; only these totals meet the scenarios' factors.
     """
-    factors = discount_table(cash_flows.sparkSession, rates, periods)
-    present = F.col("amount") * required(F.col("factor"), "period outside the discount table")
+    totals = flows_by_period(cash_flows)
+    factors = _periods(totals).crossJoin(scenario_table(cash_flows.sparkSession, rates))
+    factors = factors.withColumn("factor", discount_factor_at(F.col("rate"), F.col("t")))
+    present = F.col("amount") * required(F.col("factor"), "a flow without a period from 0 on")
     return (
-        flows_by_period(cash_flows)
-        .join(F.broadcast(factors), "t", "left")
-        .groupBy("scenario_id", "option_id")
+        totals.join(factors, "t", "left")
+        .groupBy("scenario_id", "rate", "option_id")
         .agg(F.max("t").alias("horizon"), F.sum(present).cast(LEDGER).alias("npv"))
     )
 
 
-def npv_by_option(cash_flows: DataFrame, rate: Decimal, periods: int = MAX_PERIODS) -> DataFrame:
-    return scenario_npv(cash_flows, {BASE: rate}, periods).drop("scenario_id")
+def scenario_npv(cash_flows: DataFrame, rates: Mapping[str, Decimal] | DataFrame) -> DataFrame:
+    """Net present value of every option in every scenario. Scenarios are named rates or a table of them."""
+    return _valued(cash_flows, rates).select("scenario_id", "option_id", "horizon", "npv")
+
 
+def npv_by_option(cash_flows: DataFrame, rate: Decimal) -> DataFrame:
+    return scenario_npv(cash_flows, {BASE: rate}).drop("scenario_id")
 
-def scenario_eac(cash_flows: DataFrame, rates: Mapping[str, Decimal], periods: int = MAX_PERIODS) -> DataFrame:
+
+def scenario_eac(cash_flows: DataFrame, rates: Mapping[str, Decimal] | DataFrame) -> DataFrame:
     """Net present value and its equivalent annual cost; an option without a later period has no annual cost."""
-    annuities = annuity_table(cash_flows.sparkSession, rates, periods)
-    annual = F.col("npv").cast(FLOW) * required(F.col("annuity"), "horizon outside the annuity table")
-    return (
-        scenario_npv(cash_flows, rates, periods)
-        .join(F.broadcast(annuities), ["scenario_id", "horizon"], "left")
-        .select(
-            "scenario_id",
-            "option_id",
-            "horizon",
-            "npv",
-            F.when(F.col("horizon") > 0, annual).cast(LEDGER).alias("eac"),
-        )
-    )
+    annual = F.col("npv").cast(FLOW) * annuity_factor_at(F.col("rate"), F.col("horizon"))
+    eac = F.when(F.col("horizon") > 0, annual).cast(LEDGER)
+    return _valued(cash_flows, rates).select("scenario_id", "option_id", "horizon", "npv", eac.alias("eac"))
 
 
-def eac_by_option(cash_flows: DataFrame, rate: Decimal, periods: int = MAX_PERIODS) -> DataFrame:
-    return scenario_eac(cash_flows, {BASE: rate}, periods).drop("scenario_id")
+def eac_by_option(cash_flows: DataFrame, rate: Decimal) -> DataFrame:
+    return scenario_eac(cash_flows, {BASE: rate}).drop("scenario_id")
+
+
+def assumed_rates(assumptions: DataFrame) -> DataFrame:
+    """(scenario_id, rate) of the distinct percentages among typed assumptions, named by their amount."""
+    share = (F.col("amount") / 100).cast(RATE)
+    percent = assumptions.where("unit = 'percent'").select(share.alias("rate")).distinct()
+    return percent.select(F.col("rate").cast("string").alias("scenario_id"), "rate")
+
+
+def recommended_options(cash_flows: DataFrame, assumptions: DataFrame, tax_rate: Decimal) -> DataFrame:
+    """The whole chain: outflows after tax, their value under every assumed rate, the option of least annual cost.
+
+    Ties are all returned. ``assumptions`` are typed; each distinct percentage is a scenario.
+    """
+    taxed = after_tax_cash_flows(cash_flows, tax_rate).select("option_id", "t", F.col("after_tax").alias("amount"))
+    valued = scenario_eac(taxed, assumed_rates(assumptions))
+    best = valued.groupBy("scenario_id").agg(F.max("eac").alias("eac"))
+    return valued.join(best, ["scenario_id", "eac"]).select("scenario_id", "option_id", "horizon", "npv", "eac")
 
 
 def rank_options(valued: DataFrame) -> DataFrame:
