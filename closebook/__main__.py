@@ -39,20 +39,24 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 def main(arguments: list[str] | None = None) -> None:
     options = parse(arguments)
     spark = configure(SparkSession.builder.appName(f"closebook-{options.job}").getOrCreate())
+    try:
+        print(_run(spark, options))
+    finally:
+        clear(spark)
+
+
+def _run(spark: SparkSession, options: argparse.Namespace):
     config = CloseConfig.load(spark, options.config)
     if options.job == "report":
         gated = config.business_day(options.table) is not None
         dates = spark.table(config.get("date_dim_table", "date_dim")) if gated else None
-        result = run_report(spark, config, options.table, options.as_of, dates, datetime.now())
-    elif options.job == "processor":
-        result = run_processor(spark, config, options.processor, options.as_of)
-    else:
-        database = config.require("nopii_db")
-        revenue = spark.table(config.get("revenue_table", f"{database}.monthly_rpt_cash_billed_revenue"))
-        products = spark.table(config.get("product_table", "product_sku_dim"))
-        result = run_journal(spark, config, revenue, products, options.as_of)
-    clear(spark)
-    print(result)
+        return run_report(spark, config, options.table, options.as_of, dates, datetime.now())
+    if options.job == "processor":
+        return run_processor(spark, config, options.processor, options.as_of)
+    database = config.require("nopii_db")
+    revenue = spark.table(config.get("revenue_table", f"{database}.monthly_rpt_cash_billed_revenue"))
+    products = spark.table(config.get("product_table", "product_sku_dim"))
+    return run_journal(spark, config, revenue, products, options.as_of)
 
 
 if __name__ == "__main__":

@@ -30,7 +30,7 @@ from closebook.sinks.tables import write_partitioned
 from closebook.sources.files import month_files, read_header_csv
 from closebook.sources.storage import size_of
 from closebook.sources.tables import partition_inventory
-from closebook.workspace import new_path
+from closebook.workspace import new_path, store
 
 JOURNAL_BATCH = 100
 PROCESSOR_MONTH = date(2024, 1, 1)
@@ -47,15 +47,16 @@ SCENARIOS = {
 }
 
 REPORTS = [
-    ReportSpec("monthly_rpt_cash_billed_revenue", business_day=1),
-    ReportSpec("monthly_rpt_creditcard_refunds", business_day=1),
-    ReportSpec("monthly_rpt_unbilled_revenue", business_day=2),
-    ReportSpec("monthly_rpt_international_revenue", business_day=3),
-    ReportSpec("monthly_rpt_canadian_revenue", business_day=3),
-    ReportSpec("monthly_rpt_contract_usage_revenue", business_day=4),
-    ReportSpec("monthly_rpt_partner_org_activity"),
+    ReportSpec("cash_revenue", business_day=1),
+    ReportSpec("card_refunds", business_day=1),
+    ReportSpec("open_items", business_day=2),
+    ReportSpec("foreign_revenue", business_day=3),
+    ReportSpec("northern_revenue", business_day=3),
+    ReportSpec("usage_fees", business_day=4),
+    ReportSpec("partner_summary"),
 ]
 
+# The columns of the two processors' files.
 NORTHCARD_MAPPING = [
     ColumnMapping("program", "string", "program", "string"),
     ColumnMapping("batch_number", "string", "batch_number", "int"),
@@ -80,11 +81,11 @@ FLEETPAY_MAPPING = [
 ]
 
 DEPENDENCIES = {
-    "cash_billed_revenue": ["src-1", "src-2", "src-3", "src-4", "src-5", "src-6"],
-    "ach_credit_refunds": ["src-7", "src-8", "src-9"],
-    "ach_chargebacks": ["src-10"],
-    "creditcard_refunds": ["src-11", "src-12"],
-    "partner_org_activity": ["src-20", "src-21", "src-99999"],
+    "cash_revenue": ["src-1", "src-2", "src-3", "src-4", "src-5", "src-6"],
+    "bank_refunds": ["src-7", "src-8", "src-9"],
+    "disputes": ["src-10"],
+    "card_refunds": ["src-11", "src-12"],
+    "partner_summary": ["src-20", "src-21", "src-99999"],
     "ledger_calendar": [],
 }
 
@@ -129,6 +130,7 @@ def _report_table(b: Bindings) -> DataFrame:
     """The report as read back from its partitioned table, after writing it twice."""
     path = new_path(b.spark, "report")
     report = _monthly_revenue_report(b)
+    report = store(report, "report")
     for _ in range(2):
         write_partitioned(report, path, many_partitions=True)
     return b.spark.read.parquet(path)
@@ -152,11 +154,12 @@ def _processor_table(b: Bindings) -> DataFrame:
 def _je_files(b: Bindings) -> DataFrame:
     """The ledger files as the importer reads them: blanks are NULL."""
     folder = new_path(b.spark, "ledger")
-    lines = journal.journal_lines(_stage(b), b.products())
+    stage = journal.stage_batches(journal.billed_amounts(b.revenue_lines()), per_month=True)
+    lines = journal.journal_lines(stage, b.products())
     write_journal_files(lines, folder)
     kinds = [(FILE_HEADER.get(c, c), dict(lines.dtypes)[c]) for c in journal.LINE_COLUMNS]
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in [*kinds, ("file_no", "bigint")])
-    return b.spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(folder)
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in [*kinds, ("partition_id", "string"), ("file_no", "bigint")])
+    return b.spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(folder).drop("partition_id")
 
 
 def _flows(b: Bindings) -> DataFrame:
@@ -175,7 +178,7 @@ QUERIES: dict[str, Callable[[Bindings], DataFrame]] = {
     "je_stage_batches": _stage,
     "je_stage_batches_monthly": _monthly_stage,
     "je_lines": lambda b: _lines(b).select("file_no", "rk", *[f"`{c}`" for c in journal.LINE_COLUMNS]),
-    "je_summary": lambda b: journal.control_totals(_monthly_stage(b)),
+    "je_summary": lambda b: journal.control_totals(_lines(b)),
     "je_reconcile": lambda b: journal.reconcile(_lines(b)),
     "report_table": _report_table,
     "processor_table": _processor_table,

@@ -144,7 +144,7 @@ class CloseConfig:
         return f"{outbox}/{partition_of(month)}/journal_entry/billed_revenue"
 
     def daily_outbox(self, spec: ReportSpec, month: date) -> str:
-        root = self.get("daily_outbound_path", "internal/outbound/FBO_Accounting")
+        root = self.require("daily_outbound_path")
         return f"{self._bucket('finance_bucketname')}/{root}/{partition_of(month)}/{spec.output_path}"
 
     def sql_path(self, spec: ReportSpec) -> str:

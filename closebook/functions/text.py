@@ -10,8 +10,7 @@ def sku_number(ledger_sku: Column) -> Column:
 
     A code without a hyphen gives an empty text, a missing code gives NULL.
     """
-    hyphen = F.instr(F.replace(ledger_sku, F.lit(" - "), F.lit("--")), "-")
-    return F.trim(F.substring(ledger_sku, F.lit(1), hyphen - 1))
+    return F.trim(F.regexp_extract(ledger_sku, "^([^-]*)-", 1))
 
 
 def sku_item_name(ledger_sku: Column, description: Column) -> Column:

@@ -195,23 +195,16 @@ def journal_lines(
     )
 
 
-def control_totals(stage: DataFrame) -> DataFrame:
-    """One audit row per month and file. Sinks add the time stamp."""
-    total = F.sum("amount").cast("decimal(38,2)")
-    return (
-        stage.groupBy(F.col("report_month").alias("reportmonth"), F.col("file_no").alias("je_file_no"))
-        .agg(total.alias("journalitemline_debitamount"), total.alias("journalitemline_creditamount"))
-        .select(
-            "reportmonth",
-            F.lit(FILE_NAME).alias("je_file_name"),
-            "je_file_no",
-            "journalitemline_debitamount",
-            "journalitemline_creditamount",
-            (F.col("journalitemline_debitamount") - F.col("journalitemline_creditamount"))
-            .cast("decimal(38,2)")
-            .alias("delta"),
-            partition_id(F.col("reportmonth")).alias("partition_id"),
-        )
+def control_totals(lines: DataFrame) -> DataFrame:
+    """One audit row per month and file, from the lines as emitted. Sinks add the time stamp."""
+    return reconcile(lines).select(
+        F.col("report_month").alias("reportmonth"),
+        F.lit(FILE_NAME).alias("je_file_name"),
+        F.col("file_no").alias("je_file_no"),
+        F.col("debit").alias("journalitemline_debitamount"),
+        F.col("credit").alias("journalitemline_creditamount"),
+        "delta",
+        partition_id(F.col("report_month")).alias("partition_id"),
     )
 
 

@@ -13,10 +13,20 @@ CAST_TYPES = ("int", "double", "decimal(38,2)", "date")
 
 
 def typed(value: Column, target_type: str) -> Column:
-    """Cast that yields NULL for a bad cell; any type outside the list leaves the text as it is."""
+    """Cast that yields NULL for a bad cell; any type outside the list leaves the text as it is.
+
+    Text of a whole number may have decimals (``2024.0``); they are cut off.
+    """
+    if target_type == "int":
+        return F.coalesce(value.try_cast("int"), _cut(value))
     return value.try_cast(target_type) if target_type in CAST_TYPES else value
 
 
+def _cut(value: Column) -> Column:
+    """The whole part of a number with decimals; NULL for any other text and beyond the range of an int."""
+    return F.regexp_extract(value, r"^\s*([+-]?[0-9]+)[.][0-9]*\s*$", 1).try_cast("int")
+
+
 def apply_mapping(df: DataFrame, mapping: list[ColumnMapping]) -> DataFrame:
     """One projection: mapped columns renamed and cast in place, unmapped ones kept, absent ones skipped."""
     by_source = {m.source: m for m in mapping}

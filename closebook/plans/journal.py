@@ -19,8 +19,11 @@ from closebook.operators.journal import (
 )
 from closebook.sinks.catalog import register_table
 from closebook.sinks.files import name_journal_files, write_journal_files
+from closebook.session import size_shuffles
 from closebook.sinks.tables import PARTITION, write_partitioned, write_whole
+from closebook.workspace import store
 
+# The names of the two tables.
 STAGE_TABLE = "stage_cashrevenue_filebatches"
 CONTROL_TABLE = "monthly_rpt_journal_entry_summary_revenue"
 
@@ -43,6 +46,7 @@ def run_journal(
 ) -> JournalRun:
     """Journal entries for the month before ``as_of``. Running it again replaces that month's output."""
     month = previous_month(as_of)
+    size_shuffles(spark, revenue, products)
     batches = stage_batches(billed_amounts(revenue, report_month=month), batch_size)
     if batches.isEmpty():
         raise ValueError(f"no billed revenue for {month:%Y-%m}")
@@ -52,14 +56,8 @@ def run_journal(
     register_table(spark, f"{database}.{STAGE_TABLE}", batches.schema, stage_path)
     stage = spark.read.schema(batches.schema).parquet(stage_path)
 
-    control = control_totals(stage).withColumn("etl_timestamp", F.current_timestamp())
-    control_path = config.table_path(CONTROL_TABLE)
-    write_partitioned(control, control_path)
-    register_table(
-        spark, f"{database}.{CONTROL_TABLE}", control.schema, control_path, [PARTITION], [partition_of(month)]
-    )
-
-    lines = journal_lines(stage, products)
+    # Computed once: checked, written to the files and summed up from the same rows.
+    lines = store(journal_lines(stage, products), "journal-lines")
     totals = reconcile(lines).agg(
         F.count_if(F.col("delta") != 0).alias("unbalanced"), F.sum("unmapped_lines").alias("unmapped")
     )
@@ -68,4 +66,13 @@ def run_journal(
         raise ValueError(f"{checked.unbalanced} files of {month:%Y-%m} do not balance")
     outbox = config.journal_outbox(month)
     write_journal_files(lines, outbox)
-    return JournalRun(stage_path, control_path, name_journal_files(spark, outbox), checked.unmapped)
+    files = name_journal_files(spark, outbox)
+
+    # Last, so that an audit row stands for files that balance and are there.
+    control = control_totals(lines).withColumn("etl_timestamp", F.current_timestamp())
+    control_path = config.table_path(CONTROL_TABLE)
+    write_partitioned(control, control_path)
+    register_table(
+        spark, f"{database}.{CONTROL_TABLE}", control.schema, control_path, [PARTITION], [partition_of(month)]
+    )
+    return JournalRun(stage_path, control_path, files, checked.unmapped)

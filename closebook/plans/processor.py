@@ -10,6 +10,7 @@ from pyspark.sql import Observation, SparkSession, functions as F
 from closebook.config import CloseConfig
 from closebook.functions.dates import partition_of, previous_month
 from closebook.operators.mapping import add_metadata, apply_mapping, failed_casts
+from closebook.session import size_shuffles
 from closebook.sinks.catalog import register_table
 from closebook.sinks.tables import PARTITION, write_partitioned
 from closebook.sources.files import month_files, read_header_csv
@@ -36,6 +37,7 @@ def run_processor(spark: SparkSession, config: CloseConfig, processor: str, as_o
     if not files:
         return ProcessorRun(processor, NO_INPUT)
     raw = read_header_csv(spark, files)
+    size_shuffles(spark, raw)
     counted = Observation("processor")
     observed = raw.observe(counted, F.count(F.lit(1)).alias("rows"), *failed_casts(spec.mapping, raw.columns))
     table = add_metadata(apply_mapping(observed, spec.mapping), month).withColumn(

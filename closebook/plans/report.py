@@ -8,11 +8,12 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from closebook.config import DAILY, MONTHLY, CloseConfig, ReportSpec
-from closebook.functions.dates import next_month, partition_id, previous_month
+from closebook.functions.dates import next_month, partition_id, partition_of, previous_month
 from closebook.operators.calendar import nth_business_day
+from closebook.session import size_shuffles
 from closebook.sinks.catalog import register_table
 from closebook.sinks.files import daily_extract_path, write_daily_extract
-from closebook.sinks.tables import PARTITION, write_partitioned
+from closebook.sinks.tables import PARTITION, clear_partition, write_partitioned
 from closebook.workspace import store
 
 WRITTEN = "written"
@@ -87,10 +88,16 @@ def run_report(
         extract = daily_extract_path(config.daily_outbox(spec, as_of.replace(day=1)), spec.output_path, written_at)
     path = config.table_path(table)
     counted = Observation("report")
-    mode = "append" if spec.mode == "append" else "overwrite"
+    mode = spec.mode
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"{table}: unknown mode {mode}")
+    size_shuffles(spark, result)
     write_partitioned(result.observe(counted, F.count(F.lit(1)).alias("rows")), path, mode)
     rows = counted.get["rows"]
     if rows == 0:
+        # A corrected month may turn out empty: what an earlier run wrote for it must go.
+        if mode == "overwrite" and spec.cadence == MONTHLY:
+            clear_partition(spark, path, partition_of(month))
         return ReportRun(table, EMPTY)
     register_table(spark, f"{spec.schema_name}.{table}", result.schema, path, [PARTITION])
     if extract:

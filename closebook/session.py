@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # A partition value such as 2024-01-01 must come back as text, not as a date.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # A moment is the same date on every cluster.
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A join on one column must not make a later aggregate on more columns reuse its
@@ -19,18 +21,27 @@ SETTINGS = {
 }
 
 
-# Shuffle tasks start this small and are merged by adaptive execution; the count stays within what a driver can track.
+# Bytes that a shuffle task should get at first; adaptive execution merges smaller ones. Columnar files hold about
+# EXPANSION times their size in rows. MOST_TASKS, a session setting, is how many a driver is trusted to track.
 BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
-MAX_SHUFFLE_TASKS = 50_000
-# Columnar files hold about this many times their size in rows.
 EXPANSION = 3
+MOST_TASKS = "spark.closebook.shuffle.maxTasks"
+MOST_TASKS_DEFAULT = 1_000_000
 
 
 def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     """Apply the settings; with ``input_bytes`` also size the shuffles for that much columnar input."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    tasks = min(input_bytes * EXPANSION // BYTES_PER_SHUFFLE_TASK, MAX_SHUFFLE_TASKS)
+    most = int(spark.conf.get(MOST_TASKS, str(MOST_TASKS_DEFAULT)))
+    tasks = min(input_bytes * EXPANSION // BYTES_PER_SHUFFLE_TASK, most)
     if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(tasks))
     return spark
+
+
+def size_shuffles(spark: SparkSession, *sources: DataFrame) -> None:
+    """Size the shuffles of a job for the files its sources read, as Catalyst knows them; nothing is run."""
+    sizes = (int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in sources)
+    # An estimate may be the product of two tables' sizes; no job reads more than this.
+    configure(spark, min(sum(sizes), 1 << 60))

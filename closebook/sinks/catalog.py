@@ -18,7 +18,11 @@ def register_table(
     partition_by: Iterable[str] = (),
     written: Iterable[str] | None = None,
 ) -> None:
-    """Create the external table, or replace its definition when it differs; the files are never touched.
+    """Create the external table, or change its definition in place; the files are never touched.
+
+    A managed table of that name is refused, as dropping or moving it would delete its files. New columns and another
+    location are set in place. Only a definition that cannot be reached so (a column gone, another type, other keys)
+    is dropped and created anew.
 
     Partition keys are text and come last, whatever type they have in ``schema``. ``written`` names the values of the
     only key that were just written; a known table then adds these alone instead of listing its whole location.
@@ -32,9 +36,8 @@ def register_table(
     if database:
         spark.sql(f"create database if not exists {database}")
     exists = spark.catalog.tableExists(table)
-    if exists and not _defined_as(spark, table, fields, location):
-        spark.sql(f"drop table {table}")
-        exists = False
+    if exists:
+        exists = _adapted(spark, table, fields, keys, location)
     if not exists:
         spark.sql(f"create table {table} ({columns}) using parquet {partitioned} location {literal(location)}")
     if exists and keys and written is not None:
@@ -44,11 +47,39 @@ def register_table(
     spark.catalog.refreshTable(table)
 
 
-def _defined_as(spark: SparkSession, table: str, fields: list[tuple[str, str]], location: str) -> bool:
-    described = spark.sql(f"describe formatted {table}").where("col_name = 'Location'").first()
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    same_place = described and where(described.data_type).toUri().getPath() == where(location).toUri().getPath()
-    return bool(same_place) and [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema] == fields
+def _adapted(spark: SparkSession, table: str, fields: list[tuple[str, str]], keys: list[str], location: str) -> bool:
+    """Whether the table now is as wanted; if not, it has been dropped."""
+    described = {r.col_name: r.data_type for r in spark.sql(f"describe formatted {table}").collect()}
+    if described.get("Type", "").upper() != "EXTERNAL":
+        raise ValueError(f"{table} is not an external table; drop or rename it first")
+    old_keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    old = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema if f.name not in old_keys]
+    new = [field for field in fields if field[0] not in keys]
+    if old_keys != keys or new[: len(old)] != old:
+        spark.sql(f"drop table {table}")
+        return False
+    if new[len(old) :]:
+        added = ", ".join(f"`{name}` {kind}" for name, kind in new[len(old) :])
+        spark.sql(f"alter table {table} add columns ({added})")
+    if _qualified(spark, described["Location"]) != _qualified(spark, location):
+        # Known partitions still point to the old place.
+        for row in spark.sql(f"show partitions {table}").collect() if keys else []:
+            parts = ", ".join(f"`{k}` = {literal(v)}" for k, v in (p.split("=", 1) for p in row.partition.split("/")))
+            spark.sql(f"alter table {table} drop if exists partition ({parts})")
+        spark.sql(f"alter table {table} set location {literal(location)}")
+        if keys:
+            spark.sql(f"msck repair table {table}")
+    return True
+
+
+def _qualified(spark: SparkSession, location: str) -> str:
+    """The location with its file system, so that equal paths in two buckets differ."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    uri, default = path.toUri(), spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem
+    if uri.getScheme() is None:
+        base = default.getDefaultUri(spark.sparkContext._jsc.hadoopConfiguration())
+        return f"{base.getScheme()}://{base.getAuthority() or ''}{uri.getPath()}"
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
 
 
 def add_partitions(spark: SparkSession, table: str, location: str, key: str, values: Iterable[str]) -> None:

@@ -7,7 +7,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from closebook.functions.dates import partition_id
 from closebook.operators.journal import FILE_HEADER, FILE_NAME, LINE_COLUMNS
+from closebook.sinks.tables import PARTITION
 from closebook.sources.storage import filesystem, list_files
 
 # NULL and empty text both come out blank, as the ledger import expects.
@@ -15,24 +17,26 @@ CSV_OPTIONS = {"header": True, "emptyValue": "", "nullValue": ""}
 
 
 def write_journal_files(lines: DataFrame, folder: str) -> None:
-    """One CSV per file number below ``folder/file_no=<n>``, summary row first.
+    """One CSV per month and file number below ``folder/partition_id=<month>/file_no=<n>``, summary row first.
 
-    All files are written by one job. A file is one task's output; the batch size bounds it.
+    All files are written by one job. A file is one task's output; numbering per month bounds it by the batch size
+    and the summary row. What an earlier run left in ``folder`` goes, whatever the session's overwrite mode.
     """
     columns = [F.col(f"`{c}`").alias(FILE_HEADER.get(c, c)) for c in LINE_COLUMNS]
     (
-        lines.repartition("file_no")
-        .sortWithinPartitions("file_no", "rk", "sku", "payment_date", "organization_id")
-        .select("file_no", *columns)
+        lines.withColumn(PARTITION, partition_id(F.col("report_month")))
+        .repartition(PARTITION, "file_no")
+        .sortWithinPartitions(PARTITION, "file_no", "rk", "sku", "payment_date", "organization_id")
+        .select(PARTITION, "file_no", *columns)
         .write.mode("overwrite")
-        .options(**CSV_OPTIONS, maxRecordsPerFile=0)
-        .partitionBy("file_no")
+        .options(**CSV_OPTIONS, maxRecordsPerFile=0, partitionOverwriteMode="static")
+        .partitionBy(PARTITION, "file_no")
         .csv(folder)
     )
 
 
 def name_journal_files(spark: SparkSession, folder: str) -> list[str]:
-    """Give the written files their import names ``Billed_JE_<n>.csv``: renames only, no data is read."""
+    """Give a month's written files their import names ``Billed_JE_<n>.csv``: renames only, no data is read."""
     fs, _ = filesystem(spark, folder)
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
 
@@ -46,7 +50,10 @@ def name_journal_files(spark: SparkSession, folder: str) -> list[str]:
 
     written = [path for path in list_files(spark, folder, (".csv",)) if "/file_no=" in path]
     with ThreadPoolExecutor(16) as pool:
-        return list(pool.map(rename, written))
+        named = list(pool.map(rename, written))
+    for emptied in {path.split("/file_no=", 1)[0] for path in written}:
+        fs.delete(jvm_path(emptied), True)
+    return named
 
 
 def daily_extract_path(outbox: str, output_path: str, written_at: datetime) -> str:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from closebook.sources.storage import filesystem
 
 PARTITION = "partition_id"
 ROWS_PER_FILE = 100_000
@@ -36,3 +38,9 @@ def write_partitioned(
 def write_whole(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Replace an unpartitioned table."""
     df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+def clear_partition(spark: SparkSession, path: str, value: str) -> None:
+    """Delete what a partition of the table holds, if it is there."""
+    fs, folder = filesystem(spark, f"{path.rstrip('/')}/{PARTITION}={value}")
+    fs.delete(folder, True)

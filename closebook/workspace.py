@@ -5,7 +5,6 @@ A stored table cuts the lineage: a lost executor costs a re-read, never a recomp
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +15,9 @@ _created: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only for local sessions without it."""
+    """The shared folder named by ``spark.checkpoint.dir``; without it one below the warehouse, which is shared too."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    shared = tempfile.mkdtemp(prefix="closebook-")
-    spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    return (shared or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

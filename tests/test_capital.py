@@ -2,7 +2,9 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from closebook.functions import money as m
 from closebook.functions.money import annuity_factor, discount_factor
 from closebook.functions.tables import values_table
 from closebook.operators import capital as c
@@ -67,9 +69,33 @@ def test_annuity_inverts_the_discounted_payments():
     assert abs(paid - 1) < Decimal("1e-10")
 
 
-def test_period_beyond_the_factors_fails(spark):
-    with pytest.raises(PySparkException, match="outside the discount table"):
-        c.npv_by_option(flows(spark, ("a", 7, "1")), Decimal("0.1"), periods=6).collect()
+@pytest.mark.parametrize("t", [-1, None])
+def test_flow_without_a_period_fails(spark, t):
+    with pytest.raises(PySparkException, match="without a period"):
+        c.npv_by_option(flows(spark, ("a", t, "1")), Decimal("0.1")).collect()
+
+
+@pytest.mark.parametrize("rate", ["0.10", "-0.05", "0.062228", "0"])
+def test_factors_of_many_periods(spark, rate):
+    rate, periods = Decimal(rate), [0, 1, 12, 100, 101, 144]
+    df = spark.createDataFrame([(t,) for t in periods], "t int")
+    at = F.lit(rate).cast("decimal(9,8)")
+    found = df.select(
+        "t", m.discount_factor_at(at, F.col("t")).alias("d"), m.growth_factor_at(at, F.col("t")).alias("g"),
+        F.when(F.col("t") > 0, m.annuity_factor_at(at, F.col("t"))).alias("a"),
+    )
+    for row in found.collect():
+        assert row.d == m.discount_factor(rate, row.t)
+        assert row.g == m.growth_factor(rate, row.t)
+        assert row.t == 0 or row.a == m.annuity_factor(rate, row.t)
+
+
+def test_a_thousand_scenarios(spark):
+    rates = spark.range(1000).selectExpr("cast(id as string) as scenario_id", "cast(id / 10000 as decimal(9,8)) as rate")
+    found = {r.scenario_id: r.npv for r in c.scenario_npv(flows(spark, ("a", 144, "1000000")), rates).collect()}
+    cent = Decimal("0.01")
+    for i in (0, 1, 500, 999):
+        assert found[str(i)] == (1000000 * m.discount_factor(Decimal(i) / 10000, 144)).quantize(cent, "ROUND_HALF_UP")
 
 
 def test_inflation(spark):
@@ -98,7 +124,7 @@ def test_depreciation_adds_up_to_the_price(spark):
     assert len(vessel) == 20
     assert {r.depreciation for r in vessel} == {Decimal("150000.00")}
     assert {r.shield for r in vessel} == {Decimal("52500.00")}
-    assert not [r for r in rows if r.asset_id == "none"]
+    assert [(r.t, r.depreciation, r.shield) for r in rows if r.asset_id == "none"] == [(None, None, None)]
 
 
 def test_scenarios_rank_apart(spark):

@@ -19,7 +19,7 @@ def test_example_configuration_is_complete():
     assert [r.table for r in config.reports()] == ["monthly_revenue"]
     assert len(config.processor("northcard").mapping) == 6
     assert len(config.processor("fleetpay").mapping) == 10
-    assert config.table_path("t") == "s3a://example-lake/finance/monthly_revenue_reports/t"
+    assert config.table_path("t") == "s3a://example-lake/finance/reports/t"
 
 
 def test_arguments():

@@ -43,6 +43,7 @@ activity_report=Daily
 activity_sql=activity_v1
 activity_dtype={{"n": "int"}}
 activity_output_path=Activity
+daily_outbound_path=daily_out
 odd_partition_column=sku
 odd_report=Daily
 odd_sql=activity_v1
@@ -80,7 +81,7 @@ def test_gate_needs_the_calendar(spark, config):
 def test_daily_report_with_extract(spark, config):
     run = run_report(spark, config, "activity", date(1997, 1, 15), written_at=datetime(1997, 1, 15, 6))
     assert run.status == WRITTEN
-    assert run.extract.endswith("/internal/outbound/FBO_Accounting/1997-01/Activity/Activity_01151997_06.csv")
+    assert run.extract.endswith("/daily_out/1997-01/Activity/Activity_01151997_06.csv")
     extract = spark.read.option("header", True).csv(run.extract)
     table = spark.table("intermediate.activity")
     assert extract.count() == table.count() == run.rows

@@ -41,11 +41,16 @@ def test_rename_and_cast_in_place(spark):
     )
 
 
-@pytest.mark.parametrize("bad", ["7.9", "1e2", "", "abc", "99999999999"])
+@pytest.mark.parametrize("bad", ["1e2", "", "abc", "99999999999", "99999999999.5", "1.2.3"])
 def test_bad_whole_numbers_become_null(spark, bad):
     assert apply_mapping(raw(spark, ("x", bad, "1", "1", "2024-01-01")), MAPPING).first().Card_Last_4 is None
 
 
+@pytest.mark.parametrize(("text", "number"), [("2024.0", 2024), ("7.9", 7), ("-3.7", -3), (" 12. ", 12)])
+def test_whole_numbers_with_decimals_are_cut(spark, text, number):
+    assert apply_mapping(raw(spark, ("x", text, "1", "1", "2024-01-01")), MAPPING).first().Card_Last_4 == number
+
+
 def test_bad_amounts_and_dates_become_null(spark):
     row = apply_mapping(raw(spark, ("x", "1", "$5", "1,234.50", "13/45/2024")), MAPPING).first()
     assert (row.Spend, row.Fee, row.posted_on) == (None, None, None)

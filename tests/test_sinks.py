@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from closebook.operators import journal as j
-from closebook.sinks.catalog import add_partitions, register_table
+from closebook.sinks.catalog import _qualified, add_partitions, register_table
 from closebook.sinks.files import daily_extract_path, name_journal_files, write_daily_extract, write_journal_files
-from closebook.sinks.tables import write_partitioned, write_whole
+from closebook.sinks.tables import clear_partition, write_partitioned, write_whole
 from closebook.sources.tables import partition_inventory, partition_values, read_month
 
 
@@ -139,6 +139,66 @@ def test_journal_files(spark, ledger_lines, tmp_path):
     assert '""' not in (Path(folder) / "Billed_JE_1.csv").read_text()
 
 
+def test_rerun_under_dynamic_overwrite_leaves_no_old_file(spark, ledger_lines, tmp_path):
+    folder, setting = str(tmp_path / "billed_revenue"), "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(setting, "dynamic")
+    try:
+        for lines, n in ((ledger_lines, 7), (ledger_lines.where("file_no < 3"), 2)):
+            write_journal_files(lines, folder)
+            name_journal_files(spark, folder)
+            assert len(list(Path(folder).rglob("*.csv"))) == n
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_no_ledger_file_is_too_long(spark):
+    """Twelve months of many rows: numbering per month keeps every file at the batch size and its summary row."""
+    lines = spark.range(12 * 45).selectExpr(
+        "add_months(date'2024-01-01', cast(id % 12 as int)) as reportmonth", "id as organization_id",
+        "date'2024-01-05' as payment_date", "1L as sku", "'AmEx' as partner_type", "cast(1 as decimal(33,2)) as amount",
+    )
+    products = spark.createDataFrame(
+        [(1, "one", "40001", "Other Revenue", "S-1")],
+        "sku bigint, sku_product_description string, netsuite_gl_account_number string, product_group string, netsuite_sku string",
+    )
+    stage = j.stage_batches(j.billed_amounts(lines), 20, per_month=True)
+    sizes = j.journal_lines(stage, products).groupBy("report_month", "file_no").count().collect()
+    assert len(sizes) == 36
+    assert max(r["count"] for r in sizes) == 21
+
+
+def test_managed_table_is_refused(spark, tmp_path):
+    table = "sinks_db.managed"
+    spark.sql("create database if not exists sinks_db")
+    spark.range(3).write.mode("overwrite").saveAsTable(table)
+    with pytest.raises(ValueError, match="not an external table"):
+        register_table(spark, table, months(spark, ("2024-01", 1)).schema, str(tmp_path / "t"), ["partition_id"])
+    assert spark.table(table).count() == 3
+    spark.sql(f"drop table {table}")
+
+
+def test_locations_of_two_stores_differ(spark):
+    assert _qualified(spark, "s3a://old-lake/t") != _qualified(spark, "s3a://new-lake/t")
+    assert _qualified(spark, "/lake/t") == _qualified(spark, "file:///lake/t")
+
+
+def test_moved_table_reads_the_new_place(spark, tmp_path):
+    table = "sinks_db.moved"
+    for n, place in ((1, "old"), (2, "new")):
+        df = months(spark, ("2024-01", n))
+        write_partitioned(df, str(tmp_path / place))
+        register_table(spark, table, df.schema, str(tmp_path / place), ["partition_id"], ["2024-01"])
+        assert [r.n for r in spark.table(table).collect()] == [n]
+
+
+def test_emptied_month_is_cleared(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_partitioned(months(spark, ("2024-01", 1), ("2024-02", 2)), path)
+    clear_partition(spark, path, "2024-02")
+    clear_partition(spark, path, "2024-03")
+    assert [r.n for r in spark.read.parquet(path).collect()] == [1]
+
+
 def test_daily_extract(spark, tmp_path):
     path = daily_extract_path(str(tmp_path), "Activity", datetime(2024, 3, 5, 7, 30))
     assert path.endswith("/Activity_03052024_07.csv")

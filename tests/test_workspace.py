@@ -1,7 +1,5 @@
 import os
 
-import pytest
-
 from closebook import workspace
 
 
@@ -17,17 +15,13 @@ def test_store_and_clear(spark, monkeypatch):
 
 
 class Elsewhere:
-    """A session on a cluster without a shared folder."""
+    """A session without a checkpoint folder."""
 
     class conf:
         @staticmethod
-        def get(key, default):
-            return default
-
-    class sparkContext:
-        master = "spark://host:7077"
+        def get(key, default=None):
+            return "s3a://lake/warehouse/" if key == "spark.sql.warehouse.dir" else default
 
 
-def test_cluster_needs_a_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        workspace.folder(Elsewhere())
+def test_without_a_checkpoint_folder_the_warehouse_is_used():
+    assert workspace.folder(Elsewhere()) == "s3a://lake/warehouse"
