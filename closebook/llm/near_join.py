@@ -9,8 +9,10 @@ exact, so that no link between different texts is lost:
    out. Most are. Tokens of many sets are noted as hot; their number is bounded by raising the limit.
 3. Second and third order (hot tokens last, then another hash each), short prefixes n - ceil(t n) + 1: sets that link
    share a token in the prefixes of each order.
-   a. Sets with the same first token are compared to a few leaders of that token, which joins large groups of
-      copies to a few components at a cost that grows with the group, not its square.
+   a. Sets with the same least token in an order of its own (hash alone, as groups of copies share their least
+      tokens) are compared to a few leaders of that token, which joins large groups of copies to a few components at
+      a cost that grows with the group, not its square. Later rounds take other orders and leaders, and only sets
+      outside the largest component of their token.
    b. Only sets of different components still need comparing. A token whose sets are all of one component gives
       nothing; else sets outside its largest component meet the others. These candidates must share a token in
       the third order's prefixes as well before they are verified.
@@ -38,6 +40,8 @@ MOST_HOT = 1 << 18  # hot tokens, at most: 2 MB for each Python worker; beyond,
 LEADERS = 8
 VERIFY_ROWS = 64  # rows of an Arrow batch with token arrays
 ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
+KEY_ORDERS = (0x2545F4914F6CDD1D, 0x369DEA0F31A53F85, 0x6C62272E07BB0142, 0x7B1C3F2A9D8E5B47)
+ROUNDS = ((0, 1), (2,), (3,))  # of leaders: the key orders of each
 
 
 def keep_at_least(n, num: int, den: int):
@@ -84,7 +88,8 @@ def set_heads(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
 
 def ordered_prefixes(docs: DataFrame, hot: np.ndarray, width: int, num: int, den: int) -> DataFrame:
-    """``id, n, tokens, p2, p3``: all tokens, and the short prefixes in the second and third order."""
+    """``id, n, tokens, p2, p3, keys``: all tokens, the short prefixes in the second and third order, and the least
+    token in each of the key orders."""
     held = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
 
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,9 +104,17 @@ def ordered_prefixes(docs: DataFrame, hot: np.ndarray, width: int, num: int, den
             for seed in ORDERS:
                 order = np.lexsort((mix64(hashes ^ np.uint64(seed)), is_hot, group))
                 found.append(_lists(hashes[order][_firsts(sizes, wanted)], wanted))
-            yield pa.record_batch([batch.column("doc_id"), pa.array(sizes), _lists(hashes, sizes), *found], names=["id", "n", "tokens", "p2", "p3"])
+            filled = np.flatnonzero(sizes)
+            starts = (np.cumsum(sizes) - sizes)[filled]
+            least = np.zeros((len(sizes), len(KEY_ORDERS)), dtype=np.uint64)
+            for i, seed in enumerate(KEY_ORDERS):
+                if len(filled):  # a bijection's least value stands for the token
+                    least[filled, i] = np.minimum.reduceat(mix64(hashes ^ np.uint64(seed)), starts)
+            found.append(_lists(least.ravel(), np.full(len(sizes), len(KEY_ORDERS))))
+            columns = [batch.column("doc_id"), pa.array(sizes), _lists(hashes, sizes), *found]
+            yield pa.record_batch(columns, names=["id", "n", "tokens", "p2", "p3", "keys"])
 
-    return docs.mapInArrow(prefixes, "id long, n long, tokens array<long>, p2 array<long>, p3 array<long>")
+    return docs.mapInArrow(prefixes, "id long, n long, tokens array<long>, p2 array<long>, p3 array<long>, keys array<long>")
 
 
 def verified(pairs: DataFrame, num: int, den: int) -> DataFrame:
@@ -147,15 +160,28 @@ def hot_tokens(shared: DataFrame) -> np.ndarray:
     return np.array([r["token"] for r in rows], dtype=np.int64).view(np.uint64)
 
 
-def leader_links(full: DataFrame, prefix: str, num: int, den: int) -> DataFrame:
-    """Links between sets and the leaders of their first token in an order."""
-    keyed = full.select("id", "n", "tokens", F.element_at(prefix, 1).alias("key"))
-    in_key = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
-    few = keyed.select("key", "id").withColumn("r", F.row_number().over(in_key)).where(F.col("r") <= LEADERS)
-    several = few.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    chosen = few.join(several, "key", "left_semi").select("id", "key")
-    heads = chosen.join(full.select("id", "tokens"), "id").groupBy("key").agg(F.collect_list(F.struct("id", "tokens")).alias("others"))
-    return verified(keyed.join(heads, "key").select(F.col("id").alias("a"), "tokens", "others"), num, den)
+def leader_links(full: DataFrame, comps: DataFrame | None, order: int, num: int, den: int) -> DataFrame:
+    """Links between sets and the leaders of their least token in a key order.
+
+    With ``comps`` only tokens with sets of several components count, and of their sets those outside the largest.
+    """
+    keyed = full.select("id", F.col("keys")[order].alias("key"))
+    if comps is None:
+        keyed = keyed.withColumn("comp", F.col("id"))
+    else:
+        keyed = keyed.join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    keyed = store(keyed, "near-keys")
+    per = keyed.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    major = F.max_by(F.struct("comp", "c"), F.struct("c", "comp"))
+    several = per.groupBy("key").agg(major.alias("m"), F.count("*").alias("k")).where("k > 1").select("key", "m.comp", "m.c")
+    several = store(several.withColumnRenamed("comp", "major"), "near-key-groups")
+    in_key = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(order)), "id")
+    few = keyed.join(several, "key", "left_semi").select("key", "id")
+    few = few.withColumn("r", F.row_number().over(in_key)).where(F.col("r") <= LEADERS).select("id", "key")
+    sets = full.select("id", "tokens")
+    heads = few.join(sets, "id").groupBy("key").agg(F.collect_list(F.struct("id", "tokens")).alias("others"))
+    members = keyed.join(several, "key").where("comp != major or c = 1").select("id", "key").join(sets, "id")
+    return verified(members.join(heads, "key").select(F.col("id").alias("a"), "tokens", "others"), num, den)
 
 
 def cross_candidates(full: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
@@ -202,12 +228,13 @@ def near_duplicates(
 
     kept = texts.join(hits.where("over >= 0"), "doc_id", "left_semi")
     full = store(ordered_prefixes(kept, hot_tokens(shared), width, num, den).where("n > 0"), "near-full")
-    links = store(leader_links(full, "p2", num, den), "near-links")
-    comps = store(components(links), "near-components")
-    # Leaders of another order, where a first token still has sets of several components.
-    open_ids = store(unsettled(full, comps, "p3"), "near-open")
-    links = store(links.unionAll(leader_links(full.join(open_ids, "id", "left_semi"), "p3", num, den)), "near-links")
-    comps = store(components(links), "near-components")
+    links, comps = None, None
+    for orders in ROUNDS:
+        for order in orders:
+            found = leader_links(full, comps, order, num, den)
+            links = found if links is None else links.unionAll(found)
+        links = store(links, "near-links")
+        comps = store(components(links), "near-components")
     pairs = store(cross_candidates(full, comps, num, den), "near-candidates")
     one = full.select(F.col("id").alias("a"), "tokens")
     other = full.select(F.col("id").alias("b"), F.array(F.struct("id", "tokens")).alias("others"))
@@ -216,11 +243,3 @@ def near_duplicates(
     joined = components(links.unionAll(more)).withColumnRenamed("id", "rep")
     members = sets.select("doc_id", *mark).join(classes.select("rep", *mark), mark, "left").join(joined, "rep", "left")
     return members.select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
-
-
-def unsettled(full: DataFrame, comps: DataFrame, prefix: str) -> DataFrame:
-    """``id`` of the sets whose first token in an order has sets of several components."""
-    placed = full.select("id", F.element_at(prefix, 1).alias("key")).join(comps, "id", "left")
-    placed = placed.select("id", "key", F.coalesce("component", "id").alias("comp"))
-    several = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-    return placed.join(several, "key", "left_semi").select("id")
