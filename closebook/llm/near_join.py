@@ -13,7 +13,10 @@ exact, so that no link between different texts is lost:
       tokens) are compared to a few leaders of that token, which joins large groups of copies to a few components at
       a cost that grows with the group, not its square. Later rounds take other orders and leaders, and only sets
       outside the largest component of their token.
-   b. Only sets of different components still need comparing. A token whose sets are all of one component gives
+   b. Sets joined by tokens that still have sets of several components, and more than ``CROWD`` of them, are compared
+      block by block: two blocks of ``BLOCK`` sets are multiplied as 0/1 matrices in one task, which gives a star for
+      each of their components, never a row for each pair.
+   c. Only sets of different components still need comparing. A token whose sets are all of one component gives
       nothing; else sets outside its largest component meet the others. These candidates must share a token in
       the third order's prefixes as well before they are verified.
 4. Verified pairs are linked to components.
@@ -38,6 +41,8 @@ from closebook.llm.shingles import mix64, shingle_sets
 HOT = 4  # a token of so many prefixes is hot
 MOST_HOT = 1 << 18  # hot tokens, at most: 2 MB for each Python worker; beyond, the limit is doubled
 LEADERS = 8
+CROWD = 64  # sets of a prefix token; more are compared in blocks
+BLOCK = 512
 VERIFY_ROWS = 64  # rows of an Arrow batch with token arrays
 ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 KEY_ORDERS = (0x2545F4914F6CDD1D, 0x369DEA0F31A53F85, 0x6C62272E07BB0142, 0x7B1C3F2A9D8E5B47)
@@ -184,14 +189,83 @@ def leader_links(full: DataFrame, comps: DataFrame | None, order: int, num: int,
     return verified(members.join(heads, "key").select(F.col("id").alias("a"), "tokens", "others"), num, den)
 
 
-def cross_candidates(full: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
-    """``a, b``: sets of different components with a common token in both short prefixes and sizes near enough."""
-    placed = full.join(comps.withColumnRenamed("component", "comp"), "id", "left")
-    placed = placed.select("id", "n", F.coalesce("comp", "id").alias("comp"), "p2")
-    rows = store(placed.select("id", "n", "comp", F.explode("p2").alias("token")), "near-prefixes")
+def prefix_rows(full: DataFrame, comps: DataFrame) -> DataFrame:
+    """``id, n, comp, token``: the tokens of the second order's short prefixes, with the set's component."""
+    placed = full.select("id", "n", "p2").join(comps, "id", "left")
+    return placed.select("id", "n", F.coalesce("component", "id").alias("comp"), F.explode("p2").alias("token"))
+
+
+def open_tokens(rows: DataFrame) -> DataFrame:
+    """``token, major, sets``: tokens with sets of several components, and the component with most of them."""
     per = rows.groupBy("token", "comp").agg(F.count("*").alias("c"))
-    mixed = per.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("major"), F.count("*").alias("k")).where("k > 1")
-    mixed = rows.join(mixed.select("token", "major"), "token")
+    major = F.max_by("comp", F.struct("c", "comp")).alias("major")
+    return per.groupBy("token").agg(major, F.sum("c").alias("sets"), F.count("*").alias("k")).where("k > 1").drop("k")
+
+
+def block_links(full: DataFrame, rows: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (as stars) among all sets that crowded tokens join, by products of blocks."""
+    crowded = rows.join(tokens.where(F.col("sets") > CROWD).select("token"), "token").select("token", "id")
+    first = crowded.groupBy("token").agg(F.min("id").alias("hub"))
+    groups = store(components(crowded.join(first, "token").select(F.col("id").alias("a"), F.col("hub").alias("b"))), "near-crowds")
+    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    mine = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    dealt = groups.join(sizes, "component").select("id", "component", mine.alias("block"), "blocks")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("id", "component", "block", other).join(full.select("id", "tokens"), "id")
+    pair = [F.col("component"), F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")]
+    side = F.collect_list(F.struct("id", "tokens")).alias("sets")
+    full.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    return dealt.groupBy(*pair).agg(side).select("sets").mapInArrow(_multiplied(num, den), "a long, b long")
+
+
+def _multiplied(num: int, den: int):
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = [], []
+            edges = np.asarray(batch.column("sets").offsets)
+            for begin, end in zip(edges, edges[1:]):
+                sets = batch.column("sets").values.slice(begin, end - begin)
+                ids, lists = np.asarray(sets.field("id")), sets.field("tokens")
+                stars = linked_stars(np.asarray(lists.flatten()), np.diff(np.asarray(lists.offsets)), num, den)
+                away = np.flatnonzero(stars != np.arange(len(ids)))
+                one.append(ids[away])
+                two.append(ids[stars[away]])
+            pairs = [pa.array(np.concatenate(x) if x else np.zeros(0), pa.int64()) for x in (one, two)]
+            yield pa.record_batch(pairs, names=["a", "b"])
+
+    return compare
+
+
+def linked_stars(tokens: np.ndarray, sizes: np.ndarray, num: int, den: int, columns: int = 2048) -> np.ndarray:
+    """For each of some sets the first set of its component, by intersections as products of 0/1 matrices."""
+    n = len(sizes)
+    owner = np.repeat(np.arange(n), sizes)
+    _, place, often = np.unique(tokens, return_inverse=True, return_counts=True)
+    shared = often > 1  # others add to no intersection
+    number = np.cumsum(shared) - 1
+    keep = shared[place]
+    owner, place = owner[keep], number[place[keep]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    both = np.zeros((n, n), dtype=np.float32)
+    for at in range(0, int(shared.sum()), columns):
+        a, b = np.searchsorted(place, [at, at + columns])
+        block = np.zeros((n, columns), dtype=np.float32)
+        block[owner[a:b], place[a:b] - at] = 1
+        both += block @ block.T
+    linked = den * both.astype(np.float64) >= num * (sizes[:, None] + sizes[None, :] - both)
+    stars = np.arange(n)
+    while True:
+        least = np.minimum(stars, np.where(linked, stars[None, :], n).min(1, initial=n))
+        least = least[least]
+        if (least == stars).all():
+            return stars
+        stars = least
+
+
+def cross_candidates(full: DataFrame, rows: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
+    """``a, b``: sets of different components with a common token in both short prefixes and sizes near enough."""
+    mixed = rows.join(tokens.where(F.col("sets") <= CROWD).select("token", "major"), "token")
     minor = mixed.where("comp != major").select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
     every = mixed.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), "major")
     once = (F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))
@@ -235,7 +309,15 @@ def near_duplicates(
             links = found if links is None else links.unionAll(found)
         links = store(links, "near-links")
         comps = store(components(links), "near-components")
-    pairs = store(cross_candidates(full, comps, num, den), "near-candidates")
+    rows = store(prefix_rows(full, comps), "near-prefixes")
+    tokens = store(open_tokens(rows), "near-open")
+    links = store(links.unionAll(block_links(full, rows, tokens, num, den)), "near-links")
+    # A crowded token's sets have all met. The others are looked at with the components as they are now.
+    settled = components(links).withColumnRenamed("component", "now")
+    rows = rows.join(tokens.where(F.col("sets") <= CROWD).select("token"), "token", "left_semi")
+    rows = rows.join(settled, "id", "left").select("id", "n", F.coalesce("now", "id").alias("comp"), "token")
+    rows = store(rows, "near-prefixes")
+    pairs = store(cross_candidates(full, rows, store(open_tokens(rows), "near-open"), num, den), "near-candidates")
     one = full.select(F.col("id").alias("a"), "tokens")
     other = full.select(F.col("id").alias("b"), F.array(F.struct("id", "tokens")).alias("others"))
     more = store(verified(pairs.join(one, "a").join(other, "b"), num, den), "near-links")
