@@ -57,6 +57,15 @@ class Words:
         mixed ^= mixed >> np.uint32(15)
         self.trigram = (mixed % np.uint32(TRIGRAMS)).astype(np.int64)
 
+    def only(self, used: np.ndarray) -> Words:
+        """Some of the distinct words, without their places."""
+        some = Words.__new__(Words)
+        some.bucket, some.sizes = self.bucket[used], self.sizes[used]
+        first = (np.cumsum(self.sizes) - self.sizes)[used]
+        begin = np.cumsum(some.sizes) - some.sizes
+        some.trigram = self.trigram[np.repeat(first - begin, some.sizes) + np.arange(int(some.sizes.sum()))]
+        return some
+
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Rows of word places, one past the last word where a window has none, and the text of each row."""
         n = np.maximum(-(-(self.counts - WINDOW) // STRIDE), 0) + 1
@@ -124,6 +133,9 @@ class Network:
 
     def gradients(self, words: Words, rows: np.ndarray, wanted: np.ndarray, weights: np.ndarray) -> tuple[float, dict]:
         """Loss and slopes of all parameters for some windows, back through time."""
+        used = np.unique(rows[rows < len(words.bucket)])
+        rows = np.where(rows < len(words.bucket), np.searchsorted(used, rows), len(used))
+        words = words.only(used)
         p, inputs = self.p, self.inputs(words)
         logit, (there, sides, states, hidden, weight, pooled) = self.forward(inputs, rows, keep=True)
         chance = _sigmoid(logit)
@@ -160,13 +172,11 @@ class Network:
             d_gates[-1] = 0
             g[f"u{side}"], g[f"w{side}"], g[f"c{side}"] = d_u, inputs.T @ d_gates, d_gates.sum(0)
             d_inputs += d_gates @ p[f"w{side}"].T
-        used = np.unique(rows[there])
         g["words"] = np.zeros_like(p["words"])
-        np.add.at(g["words"], words.bucket[used], d_inputs[used, :VECTOR])
-        first = np.cumsum(words.sizes) - words.sizes
-        at = np.repeat(first[used] - (np.cumsum(words.sizes[used]) - words.sizes[used]), words.sizes[used]) + np.arange(int(words.sizes[used].sum()))
+        np.add.at(g["words"], words.bucket, d_inputs[:-1, :VECTOR])
         g["trigrams"] = np.zeros_like(p["trigrams"])
-        np.add.at(g["trigrams"], words.trigram[at], np.repeat(d_inputs[used, VECTOR:] / words.sizes[used][:, None], words.sizes[used], axis=0))
+        each = d_inputs[:-1, VECTOR:] / words.sizes[:, None]
+        np.add.at(g["trigrams"], words.trigram, np.repeat(each, words.sizes, axis=0))
         return float(loss), g
 
     def window_logits(self, inputs: np.ndarray, rows: np.ndarray, together: int = 4096) -> np.ndarray:
