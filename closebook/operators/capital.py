@@ -83,7 +83,8 @@ def _valued(cash_flows: DataFrame, rates: Mapping[str, Decimal] | DataFrame) ->
     Flows are totalled per option and period first; only these totals meet the scenarios' factors.
     """
     totals = flows_by_period(cash_flows)
-    factors = _periods(totals).crossJoin(scenario_table(cash_flows.sparkSession, rates))
+    last = totals.agg(F.max("t")).scalar()
+    factors = scenario_table(cash_flows.sparkSession, rates).withColumn("t", F.explode(F.sequence(F.lit(0), last)))
     factors = factors.withColumn("factor", discount_factor_at(F.col("rate"), F.col("t")))
     present = F.col("amount") * required(F.col("factor"), "a flow without a period from 0 on")
     return (
