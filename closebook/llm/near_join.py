@@ -161,8 +161,8 @@ def hot_tokens(shared: DataFrame) -> np.ndarray:
         least = row["step"]
     if least is None:
         return np.zeros(0, dtype=np.uint64)
-    rows = shared.where((F.col("n") >= HOT) & (F.floor(F.log2("n")) >= least)).select("token").collect()
-    return np.array([r["token"] for r in rows], dtype=np.int64).view(np.uint64)
+    rows = shared.where((F.col("n") >= HOT) & (F.floor(F.log2("n")) >= least)).select("token").toArrow()
+    return np.array(rows.column("token"), dtype=np.int64).view(np.uint64)
 
 
 def leader_links(full: DataFrame, comps: DataFrame | None, order: int, num: int, den: int) -> DataFrame:
