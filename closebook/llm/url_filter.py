@@ -4,7 +4,8 @@ A given rule has a host, which also stands for all of its subdomains, and a path
 Where none fits, mined rules decide: Spark's FP-growth finds token combinations of host labels, path segments and
 query names that come with a label often enough (``MIN_SUPPORT``) and surely enough (``MIN_CONFIDENCE``); a rule whose
 part already says as much with as much confidence is pruned. Rules are matched by an inverted index: each is posted
-under its rarest token, so a URL looks up its own tokens and checks only the rules posted there.
+under its rarest token, so a token set looks up its own tokens and checks only the rules posted there. All rules are
+kept; mining, pruning and matching are joins in Spark.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, fits no rule and has no tokens, so gets
 the default verdict, as does a URL that no mined rule matches; equal URLs are judged alike; without any labelled URL
@@ -23,7 +24,6 @@ from closebook.llm.common import ascii_lower, store
 
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.8
-MOST_RULES = 500
 DEFAULT = "allow"
 RESULTS = ("host", "path", "rule", "verdict")
 
@@ -75,45 +75,45 @@ class Mined:
     support: float
 
 
-def pruned(rules: list[Mined], most: int = MOST_RULES) -> list[Mined]:
-    """Without rules that a part of theirs makes needless; the best ``most`` by confidence, support and brevity."""
+def pruned(rules: list[Mined]) -> list[Mined]:
+    """Without rules that a part of theirs makes needless, best first: what ``mine`` does in Spark, for short lists."""
     kept: list[Mined] = []
     for rule in sorted(rules, key=lambda r: (len(r.tokens), r.tokens, r.verdict)):
         parts = (k for k in kept if k.verdict == rule.verdict and set(k.tokens) <= set(rule.tokens))
         if all(k.confidence < rule.confidence for k in parts):
             kept.append(rule)
-    return sorted(kept, key=lambda r: (-r.confidence, -r.support, len(r.tokens), r.tokens, r.verdict))[:most]
+    return sorted(kept, key=lambda r: (-r.confidence, -r.support, len(r.tokens), r.tokens, r.verdict))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> list[Mined]:
-    """Rules from token sets to verdicts, from rows ``tokens, verdict``."""
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules ``tokens, verdict, confidence, support`` from token sets to verdicts, from rows ``tokens, verdict``."""
     items = labelled.select(F.array_append("tokens", F.concat(F.lit("="), "verdict")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     said = F.col("consequent")[0]
     # An antecedent never holds another verdict: a row has one.
-    rules = model.associationRules.where(said.startswith("=")).orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"))
-    rules = rules.limit(20 * MOST_RULES).select("antecedent", said.alias("said"), "confidence", "support")
-    return pruned([Mined(tuple(sorted(r["antecedent"])), r["said"][1:], r["confidence"], r["support"]) for r in rules.collect()])
-
-
-def matched(found: Column, rules: list[Mined]) -> Column:
-    """The verdict of the best mined rule whose tokens are all among ``found``; null where none is."""
-    if not rules:
-        return F.lit(None).cast("string")
-    often: dict[str, int] = {}
-    for rule in rules:
-        for token in rule.tokens:
-            often[token] = often.get(token, 0) + 1
-    index: dict[str, list[int]] = {}
-    for i, rule in enumerate(rules):
-        index.setdefault(min(rule.tokens, key=lambda t: (often[t], t)), []).append(i)
-    posted = F.create_map(*[c for token, ids in index.items() for c in (F.lit(token), F.array(*map(F.lit, ids)))])
-    needs = F.array(*[F.array(*map(F.lit, r.tokens)) for r in rules])
-    verdicts = F.array(*[F.lit(r.verdict) for r in rules])
-    none = F.array().cast("array<int>")
-    at = F.flatten(F.transform(found, lambda t: F.coalesce(F.try_element_at(posted, t), none)))
-    fits = F.filter(at, lambda i: F.size(F.array_except(F.element_at(needs, i + 1), found)) == 0)
-    return F.try_element_at(verdicts, F.array_min(fits) + 1)
+    rules = model.associationRules.where(said.startswith("="))
+    rules = rules.select(F.array_sort("antecedent").alias("tokens"), F.substring(said, 2, 1 << 30).alias("verdict"), "confidence", "support")
+    rules = store(rules, "url-rules")
+    # A rule whose part with one token fewer has its verdict as surely is never the best one that matches.
+    parts = rules.where(F.size("tokens") > 1).withColumn("part", F.explode(F.transform("tokens", lambda t: F.array_remove("tokens", t))))
+    sure = rules.select(F.col("tokens").alias("part"), "verdict", F.col("confidence").alias("sure"))
+    needless = parts.join(sure, ["part", "verdict"]).where("sure >= confidence").select("tokens", "verdict").distinct()
+    return store(rules.join(needless, ["tokens", "verdict"], "left_anti"), "url-rules")
+
+
+def matched(found: DataFrame, rules: DataFrame) -> DataFrame:
+    """``tokens, mined``: for those token sets (rows ``tokens``) that a rule fits, the verdict of the best such rule."""
+    each = rules.select("*", F.explode("tokens").alias("token"))
+    often = each.groupBy("token").agg(F.count("*").alias("often"))
+    rarest = each.join(often, "token").groupBy("tokens", "verdict", "confidence", "support").agg(F.min(F.struct("often", "token")).alias("rarest"))
+    # Best first: surest, most frequent, shortest.
+    rank = F.struct((-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), F.size("tokens").alias("n"), F.col("tokens").alias("needs"), "verdict")
+    posted = store(rarest.groupBy(F.col("rarest.token").alias("token")).agg(F.array_sort(F.collect_list(rank)).alias("rules")), "url-posted")
+    sets = store(found.distinct(), "url-sets")
+    looked = sets.select("tokens", F.explode("tokens").alias("token")).join(posted, "token")
+    fits = F.filter("rules", lambda r: F.size(F.array_except(r["needs"], F.col("tokens"))) == 0)
+    best = looked.select("tokens", F.get(fits, F.lit(0)).alias("best")).where("best is not null")
+    return best.groupBy("tokens").agg(F.min("best").alias("best")).select("tokens", F.col("best.verdict").alias("mined"))
 
 
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", default: str = DEFAULT) -> DataFrame:
@@ -124,7 +124,9 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", default: str =
     name, verdict = longest_rule(host, path, rules)
     found = tokens(host, path, F.col(url))
     labelled = store(pages.select(found.alias("tokens"), verdict.alias("verdict")).where("verdict is not null"), "url-labels")
-    mined = mine(labelled)
-    # Rules get their places in the order of how good they are, so the least place that matches is the best rule.
-    best = F.coalesce(verdict, matched(found, mined), F.lit(default))
-    return pages.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"), name.alias("rule"), best.alias("verdict"))
+    open_sets = pages.where(verdict.isNull()).select(found.alias("tokens"))
+    mined = store(matched(open_sets, mine(labelled)), "url-mined").select(F.col("tokens").alias("_tokens"), F.col("mined").alias("_mined"))
+    best = F.coalesce(verdict, F.col("_mined"), F.lit(default))
+    # Only pages that no given rule judges look for a mined one.
+    judged = pages.withColumn("_found", F.when(verdict.isNull(), found)).join(mined, F.col("_found") == F.col("_tokens"), "left")
+    return judged.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"), name.alias("rule"), best.alias("verdict"))
