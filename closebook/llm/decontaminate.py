@@ -5,9 +5,9 @@
 2. Randomised SVD: every task turns its passages A into a part of A'(A W) for one random matrix W; the parts are summed
    in Spark, and the Nystroem form of that sum gives the leading right singular vectors. The benchmark's own rows
    take part, with as much weight as all passages together.
-3. Every text is cut into overlapping windows at least a ``STRIDE`` longer than the items they are compared with, so
-   that each item lies in one whole. Windows and items are compared in the latent space, by cosine and by how much of
-   the item the window covers.
+3. Every text is cut into overlapping windows, for each length of items such that an item lies in one whole, wherever
+   it stands, with up to a quarter as many words put in between. Windows and items are compared in the latent space,
+   by cosine and by how much of the item the window covers.
 4. Candidates are verified word by word: the longest common subsequence must hold ``MATCH`` of the item's words, and
    ``ANSWER`` of the words of the item's last sentence, which bears its answer.
 
@@ -225,6 +225,13 @@ def nystroem(gram: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(left, dtype=np.float32)
 
 
+def windows(words: int) -> tuple[int, int]:
+    """Length of the windows for items of so many words, and how far apart they begin, both in strides."""
+    need = -(-(words + words // 4) // STRIDE)
+    step = max(1, need // 2)
+    return need + step, step
+
+
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
@@ -252,17 +259,17 @@ def _block_leaks(spark: SparkSession, texts: DataFrame, items: list[Item]) -> Da
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weight, queries, wanted = held.value
-        # Items by the number of strides of the window that surely holds them whole.
+        # Items by the windows that surely hold them whole.
         spans = defaultdict(list)
         for k, item in enumerate(wanted):
-            spans[1 << max(1, (len(item.words) // STRIDE + 1).bit_length())].append(k)
+            spans[windows(len(item.words))].append(k)
         for batch in slices(batches, "text", 1 << 20):
             yield _matches(batch, known, weight, queries, wanted, spans)
 
     return texts.mapInArrow(search, RESULT)
 
 
-def _matches(batch, known: Vocabulary, weight: np.ndarray, queries: np.ndarray, items: list[Item], spans: dict[int, list[int]]):
+def _matches(batch, known: Vocabulary, weight: np.ndarray, queries: np.ndarray, items: list[Item], spans: dict[tuple[int, int], list[int]]):
     hashes, counts = word_hashes(batch.column("text").to_pylist())
     block, n = _blocks(counts, STRIDE)
     place = known.places(hashes)
@@ -273,9 +280,8 @@ def _matches(batch, known: Vocabulary, weight: np.ndarray, queries: np.ndarray,
     last = (first_block + n)[doc_of]
     sums = np.vstack([np.zeros((1, strides.shape[1])), np.cumsum(strides, axis=0, dtype=np.float64)])
     out: dict[tuple[int, int], tuple[float, float]] = {}
-    for span, ks in spans.items():
-        # A window of ``span`` strides begins at every half of it; those at a text's end are shorter.
-        step = span // 2
+    for (span, step), ks in spans.items():
+        # A window of ``span`` strides begins at every ``step``; those at a text's end are shorter.
         begin = np.flatnonzero((np.arange(len(doc_of)) - first_block[doc_of]) % step == 0)
         end = np.minimum(begin + span, last[begin])
         window = (sums[end] - sums[begin]).astype(np.float32)

@@ -78,3 +78,28 @@ def test_odd_rows(spark, odd_docs, no_docs, monkeypatch):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.item_id) for r in d.find_leaks(odd_docs, benchmark).collect()) == found
     assert d.find_leaks(no_docs, benchmark).count() == 0
     assert d.find_leaks(odd_docs, benchmark.where("false")).count() == 0
+
+
+def test_an_item_lies_in_one_window_whole():
+    for n in range(d.LEAST, 2000):
+        span, step = d.windows(n)
+        assert (span - step) * d.STRIDE >= n + n // 4
+
+
+def test_paraphrases_at_all_offsets(spark):
+    """Items of 34 to 47 words with words replaced are found wherever the whole text matches."""
+    draws = random.Random(3)
+    items, rows, want = [], [], set()
+    for k in range(14):
+        words = [f"i{k}x{j}" for j in range(34 + k)]
+        items.append((k, " ".join(words)))
+        item = d.Item(k, words, 0)
+        for at in range(0, 64):
+            changed = [w if draws.random() > 0.35 else f"c{draws.randrange(1 << 30)}" for w in words]
+            text = [f"o{draws.randrange(1 << 30)}" for _ in range(at)] + changed + ["after"] * 70
+            rows.append((64 * k + at, " ".join(text)))
+            if item.common(text)[0] >= d.MATCH * len(words):
+                want.add((64 * k + at, k))
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in d.find_leaks(docs, benchmark).collect()}
+    assert found == want
