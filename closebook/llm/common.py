@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -17,6 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # Texts can be long: few rows in an Arrow batch keep a Python worker small.
 BATCH_ROWS = 1000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,12 +31,25 @@ def prepared(spark: SparkSession) -> SparkSession:
     Python workers find this package where the driver has it, whatever their working folder.
     """
     spark.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[2])
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the jobs that run inside; the old values are back afterwards, also after a failure."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def ascii_lower(text: Column) -> Column:
     """A to Z in lower case; every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

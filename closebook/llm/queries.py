@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closebook.llm import decontaminate, language, mixing, near_join, sharding, substring_dedup, token_output, top_k, toxicity, url_filter
+from closebook.llm import (
+    decontaminate, language, lexical, mixing, near_join, sharding, substring_dedup, subvector_means, token_output, top_k, toxicity,
+    url_filter, warc,
+)
 from closebook.llm.common import held_out, table
 from closebook.workspace import new_path
 
@@ -79,6 +82,23 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    found = warc.read_warc(spark, path, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    found = lexical.search(index, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subvector_means.cluster_vectors(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_join": op1_near_join,
     "op2_top_k": op2_top_k,
@@ -90,4 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op11_warc": op11_warc,
+    "op12_lexical": op12_lexical,
+    "op13_centroids": op13_centroids,
 }
