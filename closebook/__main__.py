@@ -50,7 +50,9 @@ def _run(spark: SparkSession, options: argparse.Namespace):
     if options.job == "report":
         gated = config.business_day(options.table) is not None
         dates = spark.table(config.get("date_dim_table", "date_dim")) if gated else None
-        return run_report(spark, config, options.table, options.as_of, dates, datetime.now())
+        waits = config.report(options.table).sources
+        runs = spark.table(config.get("runs_table", "source_runs")) if waits else None
+        return run_report(spark, config, options.table, options.as_of, dates, datetime.now(), runs)
     if options.job == "processor":
         return run_processor(spark, config, options.processor, options.as_of)
     database = config.require("nopii_db")

@@ -39,6 +39,7 @@ class ReportSpec:
     output_path: str | None = None
     business_day: int | None = None
     schema_name: str | None = None
+    sources: list[str] = field(default_factory=list)
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,7 @@ class ProcessorSpec:
     mapping: list[ColumnMapping]
 
 
-# The processors and the table each one fills.
+# The processors that every configuration knows, and the table each one fills.
 PROCESSOR_TABLES = {
     "northcard": "monthly_rpt_northcard_vcard_revenue",
     "fleetpay": "monthly_rpt_fleetpay_vcard_revenue",
@@ -109,19 +110,33 @@ class CloseConfig:
             dtypes=ast.literal_eval(dtypes) if dtypes else {},
             output_path=output_path,
             business_day=self.business_day(table),
+            sources=[name.strip() for name in self.get(f"{table}_sources", "").split(",") if name.strip()],
             schema_name="intermediate" if output_path else self.get("dwh_db", self.get("nopii_db")),
         )
 
     def reports(self) -> list[ReportSpec]:
         return [self.report(table) for table in self.report_tables()]
 
+    def processors(self) -> dict[str, str]:
+        """Every processor and its table: the known ones, and those that ``processor_list`` adds.
+
+        ``vcard_<name>_table`` names a processor's table; an added one must have it.
+        """
+        added = [name.strip() for name in self.get("processor_list", "").split(",") if name.strip()]
+        tables = {name: self.get(f"vcard_{name}_table", PROCESSOR_TABLES.get(name)) for name in [*PROCESSOR_TABLES, *added]}
+        nowhere = [name for name, table in tables.items() if not table]
+        if nowhere:
+            raise KeyError(f"[{SECTION}] lacks vcard_{nowhere[0]}_table")
+        return tables
+
     def processor(self, name: str) -> ProcessorSpec:
-        if name not in PROCESSOR_TABLES:
+        tables = self.processors()
+        if name not in tables:
             raise ValueError(f"unknown processor: {name}")
         return ProcessorSpec(
             name=name,
             source_path=self.require(f"vcard_{name}_src_path"),
-            table=PROCESSOR_TABLES[name],
+            table=tables[name],
             mapping=parse_mapping(self.require(f"{name}_schema")),
         )
 
@@ -136,6 +151,11 @@ class CloseConfig:
     def table_path(self, table: str) -> str:
         return f"{self._bucket('destination_bucketname')}/{self.require('parquet_path')}/{table}"
 
+    def audit(self) -> tuple[str, str] | None:
+        """Path and name of the table that runs are recorded in; none unless ``audit_table`` names it."""
+        name = self.get("audit_table")
+        return (self.table_path(name), f"{self.require('nopii_db')}.{name}") if name else None
+
     def processor_inbox(self, spec: ProcessorSpec, month: date) -> str:
         return f"{self._bucket('finance_bucketname')}/{spec.source_path}/{partition_of(month)}"
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from datetime import date, datetime
 from decimal import Decimal
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -42,3 +43,9 @@ def values_table(spark: SparkSession, schema: Sequence[tuple[str, str]], rows: I
         blanks = "(" + ", ".join("NULL" for _ in schema) + ")"
         return spark.sql(f"select {columns} from values {blanks} as v({names}) where false")
     return spark.sql(f"select {columns} from values {tuples} as v({names})")
+
+
+def batched(values: Iterable, size: int) -> Iterator[list]:
+    values = iter(values)
+    while some := list(islice(values, size)):
+        yield some

@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from closebook.config import DAILY, MONTHLY, CloseConfig, ReportSpec
 from closebook.functions.dates import next_month, partition_id, partition_of, previous_month
 from closebook.operators.calendar import nth_business_day
+from closebook.operators.readiness import report_readiness
 from closebook.session import size_shuffles
+from closebook.sinks.audit import record_run
 from closebook.sinks.catalog import register_table
+from closebook.sinks.daily import publish_daily
 from closebook.sinks.files import daily_extract_path, write_daily_extract
 from closebook.sinks.tables import PARTITION, clear_partition, write_partitioned
 from closebook.workspace import store
 
+JOB = "report"
 WRITTEN = "written"
 NOT_DUE = "not due"
+BLOCKED = "blocked"
 EMPTY = "empty"
 
 
@@ -65,19 +70,51 @@ def run_report(
     as_of: date,
     date_dim: DataFrame | None = None,
     written_at: datetime | None = None,
+    runs: DataFrame | None = None,
 ) -> ReportRun:
-    """Run the report for the month before ``as_of`` when it is due on that day.
+    """Run the report for the month before ``as_of`` when it is due on that day and its sources are fresh.
 
-    ``date_dim`` is needed by reports bound to a business day, ``written_at`` by daily reports with an extract.
+    ``date_dim`` is needed by reports bound to a business day, ``written_at`` by daily reports with an extract, and
+    ``runs``, the sources' runs, by reports with configured sources. Every outcome is recorded in the audit table, if
+    one is configured.
     """
     spec = config.report(table)
     if spec.business_day is not None and date_dim is None:
         raise ValueError(f"{table} is bound to a business day; pass date_dim")
+    if spec.sources and runs is None:
+        raise ValueError(f"{table} waits for its sources; pass their runs")
+    month = previous_month(as_of)
     if not is_due(date_dim, spec.business_day, as_of):
-        return ReportRun(table, NOT_DUE)
+        run, metrics = ReportRun(table, NOT_DUE), {}
+    else:
+        checked_at = written_at or datetime.combine(as_of, time.max)
+        stale = _stale_sources(runs, spec, checked_at)
+        if stale:
+            run, metrics = ReportRun(table, BLOCKED), {"n_stale": stale}
+        else:
+            run = _run_due(spark, config, spec, as_of, written_at)
+            metrics = {"rows_out": run.rows}
+    record_run(spark, config.audit(), JOB, table, partition_of(month), run.status, metrics)
+    return run
+
+
+def _stale_sources(runs: DataFrame | None, spec: ReportSpec, checked_at: datetime) -> int:
+    """How many of the report's sources are not fresh."""
+    if not spec.sources:
+        return 0
+    return report_readiness(runs, {spec.table: spec.sources}, checked_at).first().n_stale
+
+
+def _run_due(spark: SparkSession, config: CloseConfig, spec: ReportSpec, as_of: date, written_at: datetime | None) -> ReportRun:
+    table = spec.table
     sql = spark.read.text(config.sql_path(spec), wholetext=True).first().value
     month = previous_month(as_of)
     result = shape(report_frame(spark, sql, month, next_month(month)), spec)
+    path = config.table_path(table)
+    mode = spec.mode
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"{table}: unknown mode {mode}")
+    name = f"{spec.schema_name}.{table}"
     extract = None
     if spec.cadence == DAILY and spec.output_path:
         # Table and extract must hold the same rows, so both read one stored result.
@@ -86,11 +123,11 @@ def run_report(
             return ReportRun(table, EMPTY)
         written_at = written_at or datetime.combine(as_of, datetime.min.time())
         extract = daily_extract_path(config.daily_outbox(spec, as_of.replace(day=1)), spec.output_path, written_at)
-    path = config.table_path(table)
+        if mode == "overwrite":
+            size_shuffles(spark, result)
+            marker = publish_daily(spark, result, name, path, extract)
+            return ReportRun(table, WRITTEN, marker.rows, path, extract)
     counted = Observation("report")
-    mode = spec.mode
-    if mode not in ("append", "overwrite"):
-        raise ValueError(f"{table}: unknown mode {mode}")
     size_shuffles(spark, result)
     write_partitioned(result.observe(counted, F.count(F.lit(1)).alias("rows")), path, mode)
     rows = counted.get["rows"]
@@ -99,7 +136,7 @@ def run_report(
         if mode == "overwrite" and spec.cadence == MONTHLY:
             clear_partition(spark, path, partition_of(month))
         return ReportRun(table, EMPTY)
-    register_table(spark, f"{spec.schema_name}.{table}", result.schema, path, [PARTITION])
+    register_table(spark, name, result.schema, path, [PARTITION])
     if extract:
         write_daily_extract(result, extract)
     return ReportRun(table, WRITTEN, rows, path, extract)

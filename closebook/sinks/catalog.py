@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from closebook.functions.tables import literal
+from closebook.functions.tables import batched, literal
+
+# Catalog calls name this many partitions at once.
+TOGETHER = 500
 
 
 def register_table(
@@ -47,10 +50,15 @@ def register_table(
     spark.catalog.refreshTable(table)
 
 
+def described(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the catalog says of a table: its kind, its location and so on, by name."""
+    return {r.col_name: r.data_type for r in spark.sql(f"describe formatted {table}").collect()}
+
+
 def _adapted(spark: SparkSession, table: str, fields: list[tuple[str, str]], keys: list[str], location: str) -> bool:
     """Whether the table now is as wanted; if not, it has been dropped."""
-    described = {r.col_name: r.data_type for r in spark.sql(f"describe formatted {table}").collect()}
-    if described.get("Type", "").upper() != "EXTERNAL":
+    facts = described(spark, table)
+    if facts.get("Type", "").upper() != "EXTERNAL":
         raise ValueError(f"{table} is not an external table; drop or rename it first")
     old_keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     old = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema if f.name not in old_keys]
@@ -61,7 +69,7 @@ def _adapted(spark: SparkSession, table: str, fields: list[tuple[str, str]], key
     if new[len(old) :]:
         added = ", ".join(f"`{name}` {kind}" for name, kind in new[len(old) :])
         spark.sql(f"alter table {table} add columns ({added})")
-    if _qualified(spark, described["Location"]) != _qualified(spark, location):
+    if _qualified(spark, facts["Location"]) != _qualified(spark, location):
         # Known partitions still point to the old place.
         for row in spark.sql(f"show partitions {table}").collect() if keys else []:
             parts = ", ".join(f"`{k}` = {literal(v)}" for k, v in (p.split("=", 1) for p in row.partition.split("/")))
@@ -90,3 +98,26 @@ def add_partitions(spark: SparkSession, table: str, location: str, key: str, val
     )
     if parts:
         spark.sql(f"alter table {table} add if not exists {parts}")
+
+
+def partition_clause(keys: Iterable[str], values: Iterable[str]) -> str:
+    return f"partition ({', '.join(f'`{key}` = {literal(value)}' for key, value in zip(keys, values, strict=True))})"
+
+
+def add_locations(spark: SparkSession, table: str, keys: Sequence[str], places: Iterable[tuple[Sequence[str], str]]) -> None:
+    """Register partitions, each with the folder it lies in; known ones are left alone."""
+    for some in batched(places, TOGETHER):
+        parts = " ".join(f"{partition_clause(keys, values)} location {literal(place)}" for values, place in some)
+        spark.sql(f"alter table {table} add if not exists {parts}")
+
+
+def set_location(spark: SparkSession, table: str, values: Mapping[str, str], place: str) -> None:
+    """Let one known partition point to another folder."""
+    spark.sql(f"alter table {table} {partition_clause(values.keys(), values.values())} set location {literal(place)}")
+
+
+def drop_partitions(spark: SparkSession, table: str, keys: Sequence[str], gone: Iterable[Sequence[str]]) -> None:
+    """Forget partitions of an external table; no file is touched."""
+    for some in batched(gone, TOGETHER):
+        parts = ", ".join(partition_clause(keys, values) for values in some)
+        spark.sql(f"alter table {table} drop if exists {parts}")

@@ -1,0 +1,136 @@
+"""Schema evolution of catalog tables, and partitions of catalog and storage compared."""
+
+import shutil
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from closebook.sinks.catalog import drop_partitions, register_table, set_location
+from closebook.sinks.evolution import Step, evolve_table, plan_evolution, widens
+from closebook.sinks.tables import write_partitioned, write_whole
+from closebook.sources.partitions import catalog_partitions, partition_difference, reconcile_partitions, storage_partitions
+
+
+def schema(text):
+    return StructType.fromDDL(text)
+
+
+def kind(text):
+    return schema(f"x {text}")["x"].dataType
+
+
+@pytest.mark.parametrize(
+    ("old", "new", "so"),
+    [("int", "bigint", True), ("bigint", "int", False), ("float", "double", True), ("int", "double", True), ("bigint", "double", False),
+     ("decimal(15,2)", "decimal(33,2)", True), ("decimal(15,2)", "decimal(33,4)", True), ("decimal(15,2)", "decimal(15,4)", False),
+     ("date", "timestamp_ntz", True), ("int", "string", False), ("string", "int", False)],
+)
+def test_what_widens(old, new, so):
+    assert widens(kind(old), kind(new)) == so
+
+
+def test_plan():
+    old, keys = schema("a int, b string, c date, m string"), ["m"]
+    assert plan_evolution(old, keys, old, keys) == []
+    assert plan_evolution(old, keys, schema("a bigint, b string, c date, d int, m string"), keys) == [
+        Step("widen", "a", "int", "bigint"), Step("add", "d", None, "int")
+    ]
+    assert plan_evolution(old, keys, schema("a int, b int, m string"), keys) == [
+        Step("rewrite", "b", "string", "int"), Step("drop", "c", "date")
+    ]
+    assert [s.action for s in plan_evolution(old, keys, schema("b string, a int, c date, m string"), keys)] == ["reorder"]
+    assert [s.action for s in plan_evolution(old, keys, schema("a int, b string, c date, m string"), ["c"])] == ["rewrite", "rekey"]
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    name, root = f"evolve_db.t_{tmp_path.name.replace('-', '_')}", str(tmp_path / "t")
+    df = spark.createDataFrame(
+        [(1, "1", date(2024, 1, 5), Decimal("1.50"), "2024-01"), (2, "2", date(2024, 2, 5), None, "2024-02")],
+        "a int, b string, c date, d decimal(10,2), m string",
+    )
+    write_partitioned(df, root, partition_by=("m",))
+    register_table(spark, name, df.schema, root, ["m"])
+    return name, root
+
+
+def rows(spark, name):
+    return sorted((tuple(r) for r in spark.table(name).collect()), key=str)
+
+
+def test_add_and_widen_keep_files_and_places(spark, table, tmp_path):
+    name, root = table
+    set_location(spark, name, {"m": "2024-02"}, shutil.copytree(f"{root}/m=2024-02", str(tmp_path / "elsewhere")))
+    shutil.rmtree(f"{root}/m=2024-02")
+    wanted = schema("a bigint, b string, c timestamp_ntz, d decimal(30,4), e double, m string")
+    assert [s.action for s in evolve_table(spark, name, wanted, root, ["m"])] == ["widen", "widen", "widen", "add"]
+    assert spark.table(name).schema.simpleString() == wanted.simpleString()
+    found = rows(spark, name)
+    assert [(r[0], r[3], r[4], r[5]) for r in found] == [(1, Decimal("1.5000"), None, "2024-01"), (2, None, None, "2024-02")]
+    assert evolve_table(spark, name, wanted, root, ["m"]) == []
+
+
+def test_rewrite_rekey_and_drop(spark, table):
+    name, root = table
+    steps = evolve_table(spark, name, schema("a int, b bigint, m string, c string"), root, ["c"])
+    assert sorted(s.action for s in steps) == ["drop", "rekey", "rewrite", "rewrite"]
+    assert rows(spark, name) == [(1, 1, "2024-01", "2024-01-05"), (2, 2, "2024-02", "2024-02-05")]
+    assert sorted(r[0] for r in spark.sql(f"show partitions {name}").collect()) == ["c=2024-01-05", "c=2024-02-05"]
+
+
+def test_a_lost_cell_leaves_the_table_as_it_is(spark, table):
+    name, root = table
+    before = rows(spark, name)
+    with pytest.raises(Exception, match="is no date"):
+        evolve_table(spark, name, schema("a int, b date, c date, d decimal(10,2), m string"), root, ["m"])
+    assert rows(spark, name) == before and spark.table(name).schema["b"].dataType.simpleString() == "string"
+
+
+def test_managed_and_unpartitioned_tables(spark, tmp_path):
+    spark.sql("create database if not exists evolve_db")
+    spark.range(3).write.mode("overwrite").saveAsTable("evolve_db.managed")
+    with pytest.raises(ValueError, match="external"):
+        evolve_table(spark, "evolve_db.managed", schema("id string"), str(tmp_path))
+    spark.sql("drop table evolve_db.managed")
+    root = str(tmp_path / "w")
+    write_whole(spark.range(3).selectExpr("cast(id as int) as id"), root)
+    register_table(spark, "evolve_db.whole", schema("id int"), root)
+    assert [s.action for s in evolve_table(spark, "evolve_db.whole", schema("id bigint, note string"), root)] == ["widen", "add"]
+    assert rows(spark, "evolve_db.whole") == [(0, None), (1, None), (2, None)]
+
+
+def test_partition_difference_and_reconcile(spark, tmp_path):
+    name, root = "evolve_db.parts", str(tmp_path / "p")
+    df = spark.range(60).selectExpr("id", "concat('2024-0', id % 6 + 1) as m")
+    write_partitioned(df, root, partition_by=("m",))
+    register_table(spark, name, df.schema, root, ["m"])
+    drop_partitions(spark, name, ["m"], [("2024-01",)])
+    shutil.rmtree(f"{root}/m=2024-02")
+    shutil.copytree(f"{root}/m=2024-03", str(tmp_path / "copy"))
+    set_location(spark, name, {"m": "2024-03"}, str(tmp_path / "copy"))
+    shutil.move(f"{root}/m=2024-04", str(tmp_path / "gone"))
+    set_location(spark, name, {"m": "2024-04"}, str(tmp_path / "gone"))
+    spark.catalog.refreshTable(name)
+    found = {r.m: (r.status, r.n_rows) for r in partition_difference(spark, name, root, ["m"]).collect()}
+    assert found == {"2024-01": ("missing", None), "2024-02": ("stale", 0), "2024-03": ("moved", 10), "2024-04": ("moved", 10),
+                     "2024-05": ("ok", 10), "2024-06": ("ok", 10)}
+    assert reconcile_partitions(spark, name, root, ["m"]) == {"missing": 1, "stale": 1, "moved": 1}
+    found = {r.m: r.status for r in partition_difference(spark, name, root, ["m"]).collect()}
+    assert found == {"2024-01": "ok", "2024-03": "ok", "2024-04": "moved", "2024-05": "ok", "2024-06": "ok"}
+    assert {r.m: r.n_rows for r in catalog_partitions(spark, name, ["m"]).collect()} == dict.fromkeys(found, 10)
+
+
+def test_listing_reads_no_column(spark, tmp_path):
+    name, root = "evolve_db.listed", str(tmp_path / "p")
+    df = spark.range(10).selectExpr("id", "'a b=c' as m")
+    write_partitioned(df, root, partition_by=("m",))
+    register_table(spark, name, df.schema, root, ["m"])
+    listed = catalog_partitions(spark, name, ["m"])
+    assert [(r.m, r.n_files, r.n_rows) for r in listed.collect()] == [("a b=c", 1, 10)] or listed.first().n_rows == 10
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan and "id:bigint" not in plan
+    assert storage_partitions(spark, str(tmp_path / "none"), ["m"]).count() == 0
+    assert storage_partitions(spark, root, ["m"]).select(F.sum("n_files")).first()[0] == listed.first().n_files
