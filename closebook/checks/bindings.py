@@ -87,6 +87,37 @@ from {lineitem}
 join {part} on l_partkey = p_partkey
 """
 
+# Flows over many periods, as many as the parameter says.
+LONG_FLOWS = """
+select concat(p_type, '/', cast(l_suppkey % 10 as string)) as option_id,
+       cast(l_orderkey % :periods as int) as t,
+       -cast(l_extendedprice as decimal(15,2)) as amount
+from {lineitem}
+join {part} on l_partkey = p_partkey
+"""
+
+LINES = """
+select l_orderkey as order_key, l_linenumber as line_number, l_partkey as sku, cast(l_shipdate as date) as payment_date,
+       cast(l_extendedprice as decimal(15,2)) as amount, l_returnflag as return_flag,
+       year(l_shipdate) as year, date_format(l_shipdate, 'yyyy-MM') as partition_id
+from {lineitem}
+"""
+
+# Some lines have no product.
+SOLD = """
+select case when l_linenumber = 7 then null else l_partkey end as sku, l_quantity as quantity from {lineitem}
+"""
+
+EXCLUDED = """
+select p_partkey as sku from {part} where p_size % 5 = 0
+"""
+
+DAILY = """
+select date_format(l_shipdate, 'yyyy-MM-dd') as partition_id, l_partkey % 100 as sku_group, count(*) as n_lines,
+       cast(sum(cast(l_extendedprice as decimal(15,2))) as decimal(38,2)) as amount
+from {lineitem} where year(l_shipdate) = 1997 group by 1, 2
+"""
+
 ASSETS = """
 select p_partkey as asset_id, cast(p_retailprice as decimal(22,2)) as price, p_size as life
 from {part}
@@ -117,6 +148,8 @@ SCHEMAS = {
 # Fixed-date holidays of the years the ship dates fall in.
 HOLIDAYS = [date(year, month, day) for year in range(1995, 2002) for month, day in ((1, 1), (7, 4), (11, 11), (12, 25))]
 
+RUN_HOLIDAYS = [date(2024, 1, 1), date(2024, 1, 15)]
+
 ALL_MONTHS = (date(1900, 1, 1), date(9999, 1, 1))
 
 
@@ -128,9 +161,9 @@ class Bindings:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")
 
-    def view(self, sql: str) -> DataFrame:
+    def view(self, sql: str, **parameters) -> DataFrame:
         names = [n for n in SCHEMAS if f"{{{n}}}" in sql]
-        return self.spark.sql(sql, **{n: self.table(n) for n in names})
+        return self.spark.sql(sql, args=parameters, **{n: self.table(n) for n in names})
 
     def revenue_lines(self) -> DataFrame:
         """Lines with their organisation and partner. The headers are joined first: lines are shuffled once."""
@@ -148,6 +181,10 @@ class Bindings:
         self.view(ORGANIZATIONS).createOrReplaceTempView("organizations")
         self.view(PRODUCTS).createOrReplaceTempView("product_sku_dim")
 
+    def run_days(self) -> DataFrame:
+        """The dates of all months that sources ran in."""
+        return date_dimension(self.table("events"), F.col("ts"), RUN_HOLIDAYS)
+
     def date_dim(self) -> DataFrame:
         """The dates of all months that lines were shipped in."""
         return date_dimension(self.table("lineitem"), F.col("l_shipdate"), HOLIDAYS)

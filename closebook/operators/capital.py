@@ -12,10 +12,11 @@ from closebook.functions.money import (
     LEDGER,
     RATE,
     annuity_factor_at,
-    discount_factor_at,
-    growth_factor_at,
     required,
     scenario_table,
+    times,
+    wide_discount_factor,
+    wide_growth_factor,
 )
 from closebook.functions.text import assumption_amount, assumption_unit
 from closebook.operators.ordering import ranks
@@ -44,8 +45,8 @@ def _periods(cash_flows: DataFrame) -> DataFrame:
 
 def inflated_cash_flows(cash_flows: DataFrame, growth: Decimal) -> DataFrame:
     """Each flow with its value at the price level of its period."""
-    factors = _periods(cash_flows).withColumn("growth", growth_factor_at(F.lit(growth).cast(RATE), F.col("t")))
-    inflated = F.col("amount").cast(FLOW) * required(F.col("growth"), "a flow without a period from 0 on")
+    factors = _periods(cash_flows).withColumn("growth", wide_growth_factor(F.lit(growth).cast(RATE), F.col("t")))
+    inflated = times(F.col("amount"), required(F.col("growth"), "a flow without a period from 0 on"))
     return cash_flows.join(factors, "t", "left").select(
         "option_id", "t", "amount", inflated.cast(LEDGER).alias("inflated")
     )
@@ -85,8 +86,8 @@ def _valued(cash_flows: DataFrame, rates: Mapping[str, Decimal] | DataFrame) ->
     totals = flows_by_period(cash_flows)
     last = totals.agg(F.max("t")).scalar()
     factors = scenario_table(cash_flows.sparkSession, rates).withColumn("t", F.explode(F.sequence(F.lit(0), last)))
-    factors = factors.withColumn("factor", discount_factor_at(F.col("rate"), F.col("t")))
-    present = F.col("amount") * required(F.col("factor"), "a flow without a period from 0 on")
+    factors = factors.withColumn("factor", wide_discount_factor(F.col("rate"), F.col("t")))
+    present = times(F.col("amount"), required(F.col("factor"), "a flow without a period from 0 on"))
     return (
         totals.join(factors, "t", "left")
         .groupBy("scenario_id", "rate", "option_id")

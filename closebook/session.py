@@ -27,6 +27,8 @@ BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
 EXPANSION = 3
 MOST_TASKS = "spark.closebook.shuffle.maxTasks"
 MOST_TASKS_DEFAULT = 1_000_000
+FIRST_TASKS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SIZED = "spark.closebook.shuffle.sized"
 
 
 def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
@@ -36,7 +38,13 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     most = int(spark.conf.get(MOST_TASKS, str(MOST_TASKS_DEFAULT)))
     tasks = min(input_bytes * EXPANSION // BYTES_PER_SHUFFLE_TASK, most)
     if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(tasks))
+        spark.conf.set(FIRST_TASKS, str(tasks))
+        spark.conf.set(SIZED, str(tasks))
+    elif spark.conf.get(SIZED, None):
+        # A larger job's number is not a later, smaller one's.
+        if spark.conf.get(FIRST_TASKS, None) == spark.conf.get(SIZED):
+            spark.conf.unset(FIRST_TASKS)
+        spark.conf.unset(SIZED)
     return spark
 
 

@@ -25,3 +25,16 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("OFF")
     yield configure(session)
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def settings_as_before(spark):
+    """No test runs under settings that an earlier one left."""
+    before = dict(spark.conf.getAll)
+    yield
+    after = dict(spark.conf.getAll)
+    for key, value in after.items():
+        if before.get(key) != value and spark.conf.isModifiable(key):
+            spark.conf.set(key, before[key]) if key in before else spark.conf.unset(key)
+    for key in before.keys() - after.keys():
+        spark.conf.set(key, before[key])
