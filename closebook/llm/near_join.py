@@ -6,7 +6,8 @@ exact, so that no link between different texts is lost:
 1. Texts with equal sets form a class, whose least id stands for it.
 2. First order (ascending hash), long prefix: sets of size n that link share at least k(n) of their first
    n - ceil(t n) + k(n) tokens, k(n) = n // 10 + 1. Sets with fewer such tokens that occur in any other set are
-   out. Most are. Tokens of many sets are noted as hot; their number is bounded by raising the limit.
+   out. Most are. All tokens of the rest are counted; those of many sets are hot, and their number is bounded by
+   raising the limit.
 3. Second and third order (hot tokens last, then another hash each), short prefixes n - ceil(t n) + 1: sets that link
    share a token in the prefixes of each order.
    a. Sets with the same least token in an order of its own (hash alone, as groups of copies share their least
@@ -32,9 +33,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from closebook.llm.common import prepared, slices, store
+from closebook.llm.common import ARROW_ROWS, prepared, settings, slices, store
 from closebook.llm.components import components
 from closebook.llm.shingles import mix64, shingle_sets
 
@@ -92,15 +93,35 @@ def set_heads(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(heads, "doc_id long, n_shingles long, f1 long, f2 long, head array<long>")
 
 
-def ordered_prefixes(docs: DataFrame, hot: np.ndarray, width: int, num: int, den: int) -> DataFrame:
-    """``id, n, tokens, p2, p3, keys``: all tokens, the short prefixes in the second and third order, and the least
-    token in each of the key orders."""
-    held = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
+def token_sets(docs: DataFrame, width: int) -> DataFrame:
+    """``id, n, tokens, keys``: all tokens of every set that has any, and the least token in each of the key orders."""
 
-    def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = held.value
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             hashes, sizes = shingle_sets(batch.column("text").to_pylist(), width)
+            filled = np.flatnonzero(sizes)
+            least = np.zeros((len(filled), len(KEY_ORDERS)), dtype=np.uint64)
+            if len(filled):
+                starts = (np.cumsum(sizes) - sizes)[filled]
+                for i, seed in enumerate(KEY_ORDERS):  # a bijection's least value stands for the token
+                    least[:, i] = np.minimum.reduceat(mix64(hashes ^ np.uint64(seed)), starts)
+            keys = _lists(least.ravel(), np.full(len(filled), len(KEY_ORDERS)))
+            ids = batch.column("doc_id").take(pa.array(filled))
+            yield pa.record_batch([ids, pa.array(sizes[filled]), _lists(hashes, sizes[filled]), keys], names=["id", "n", "tokens", "keys"])
+
+    return docs.mapInArrow(sets, "id long, n long, tokens array<long>, keys array<long>")
+
+
+def ordered_prefixes(full: DataFrame, hot: np.ndarray, num: int, den: int) -> DataFrame:
+    """``id, n, p2, p3``: the short prefixes in the second and third order, hot tokens last in both."""
+    held = full.sparkSession.sparkContext.broadcast(np.sort(hot))
+
+    def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        late = held.value
+        for batch in batches:
+            lists = batch.column("tokens")
+            hashes = np.asarray(lists.flatten()).view(np.uint64)
+            sizes = np.diff(np.asarray(lists.offsets)).astype(np.int64)
             group = np.repeat(np.arange(len(sizes)), sizes)
             at = np.searchsorted(late, hashes)
             is_hot = late[np.minimum(at, len(late) - 1)] == hashes if len(late) else np.zeros(len(hashes), dtype=bool)
@@ -109,23 +130,13 @@ def ordered_prefixes(docs: DataFrame, hot: np.ndarray, width: int, num: int, den
             for seed in ORDERS:
                 order = np.lexsort((mix64(hashes ^ np.uint64(seed)), is_hot, group))
                 found.append(_lists(hashes[order][_firsts(sizes, wanted)], wanted))
-            filled = np.flatnonzero(sizes)
-            starts = (np.cumsum(sizes) - sizes)[filled]
-            least = np.zeros((len(sizes), len(KEY_ORDERS)), dtype=np.uint64)
-            for i, seed in enumerate(KEY_ORDERS):
-                if len(filled):  # a bijection's least value stands for the token
-                    least[filled, i] = np.minimum.reduceat(mix64(hashes ^ np.uint64(seed)), starts)
-            found.append(_lists(least.ravel(), np.full(len(sizes), len(KEY_ORDERS))))
-            columns = [batch.column("doc_id"), pa.array(sizes), _lists(hashes, sizes), *found]
-            yield pa.record_batch(columns, names=["id", "n", "tokens", "p2", "p3", "keys"])
+            yield pa.record_batch([batch.column("id"), batch.column("n"), *found], names=["id", "n", "p2", "p3"])
 
-    return docs.mapInArrow(prefixes, "id long, n long, tokens array<long>, p2 array<long>, p3 array<long>, keys array<long>")
+    return full.select("id", "n", "tokens").mapInArrow(prefixes, "id long, n long, p2 array<long>, p3 array<long>")
 
 
 def verified(pairs: DataFrame, num: int, den: int) -> DataFrame:
     """``a, b`` of those rows (``a, tokens, others``: structs ``id, tokens``) whose sets link."""
-    pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(VERIFY_ROWS))
-
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = [], []
@@ -189,9 +200,9 @@ def leader_links(full: DataFrame, comps: DataFrame | None, order: int, num: int,
     return verified(members.join(heads, "key").select(F.col("id").alias("a"), "tokens", "others"), num, den)
 
 
-def prefix_rows(full: DataFrame, comps: DataFrame) -> DataFrame:
+def prefix_rows(prefixes: DataFrame, comps: DataFrame) -> DataFrame:
     """``id, n, comp, token``: the tokens of the second order's short prefixes, with the set's component."""
-    placed = full.select("id", "n", "p2").join(comps, "id", "left")
+    placed = prefixes.select("id", "n", "p2").join(comps, "id", "left")
     return placed.select("id", "n", F.coalesce("component", "id").alias("comp"), F.explode("p2").alias("token"))
 
 
@@ -214,7 +225,6 @@ def block_links(full: DataFrame, rows: DataFrame, tokens: DataFrame, num: int, d
     dealt = dealt.select("id", "component", "block", other).join(full.select("id", "tokens"), "id")
     pair = [F.col("component"), F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")]
     side = F.collect_list(F.struct("id", "tokens")).alias("sets")
-    full.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     return dealt.groupBy(*pair).agg(side).select("sets").mapInArrow(_multiplied(num, den), "a long, b long")
 
 
@@ -263,7 +273,7 @@ def linked_stars(tokens: np.ndarray, sizes: np.ndarray, num: int, den: int, colu
         stars = least
 
 
-def cross_candidates(full: DataFrame, rows: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
+def cross_candidates(prefixes: DataFrame, rows: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
     """``a, b``: sets of different components with a common token in both short prefixes and sizes near enough."""
     mixed = rows.join(tokens.where(F.col("sets") <= CROWD).select("token", "major"), "token")
     minor = mixed.where("comp != major").select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
@@ -271,7 +281,7 @@ def cross_candidates(full: DataFrame, rows: DataFrame, tokens: DataFrame, num: i
     once = (F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))
     near = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
     pairs = minor.join(every, "token").where((F.col("ca") != F.col("cb")) & once & near).select("a", "b").distinct()
-    third = full.select("id", "p3")
+    third = prefixes.select("id", "p3")
     pairs = pairs.join(third.withColumnsRenamed({"id": "a", "p3": "pa"}), "a")
     pairs = pairs.join(third.withColumnsRenamed({"id": "b", "p3": "pb"}), "b")
     return pairs.where(F.arrays_overlap("pa", "pb")).select("a", "b")
@@ -281,10 +291,14 @@ def near_duplicates(
     docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
-    prepared(docs.sparkSession)
+    spark = prepared(docs.sparkSession)
     # The ids that step 2 keeps also filter the texts before these are shuffled, by a Bloom filter of bounded size.
-    docs.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
-    docs.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    bloom = "spark.sql.optimizer.runtime.bloomFilter."
+    with settings(spark, {f"{bloom}enabled": "true", f"{bloom}applicationSideScanSizeThreshold": "0"}):
+        return store(_classes(spark, docs, width, num, den, doc_id, text), "near-classes-found")
+
+
+def _classes(spark: SparkSession, docs: DataFrame, width: int, num: int, den: int, doc_id: str, text: str) -> DataFrame:
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     mark = ["n_shingles", "f1", "f2"]
     # Sets are made twice, here and for the members at the end: dearer than storing all prefixes, but far less to store.
@@ -294,34 +308,39 @@ def near_duplicates(
 
     tokens = classes.select("rep", F.explode("head").alias("token"))
     counted = tokens.groupBy("token").agg(F.count("*").alias("n"))
-    shared = store(counted.where("n > 1"), "near-shared")
-    hits = tokens.join(shared.select("token"), "token").groupBy("rep").agg(F.count("*").alias("hits"))
+    shared = store(counted.where("n > 1").select("token"), "near-shared")
+    hits = tokens.join(shared, "token").groupBy("rep").agg(F.count("*").alias("hits"))
     need = F.floor(F.ceil(F.col("n_shingles") * num / den) / 10) + 1
     hits = hits.join(classes.select("rep", need.alias("need")), "rep").groupBy(F.col("rep").alias("doc_id"))
     hits = store(hits.agg(F.max(F.col("hits") - F.col("need")).alias("over")), "near-hits")
 
     kept = texts.join(hits.where("over >= 0"), "doc_id", "left_semi")
-    full = store(ordered_prefixes(kept, hot_tokens(shared), width, num, den).where("n > 0"), "near-full")
-    links, comps = None, None
-    for orders in ROUNDS:
-        for order in orders:
-            found = leader_links(full, comps, order, num, den)
-            links = found if links is None else links.unionAll(found)
-        links = store(links, "near-links")
-        comps = store(components(links), "near-components")
-    rows = store(prefix_rows(full, comps), "near-prefixes")
+    full = store(token_sets(kept, width), "near-full")
+    often = full.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= HOT)
+    hot = hot_tokens(store(often, "near-often"))
+    with settings(spark, {ARROW_ROWS: str(VERIFY_ROWS)}):
+        prefixes = store(ordered_prefixes(full, hot, num, den), "near-prefixes")
+        links, comps = None, None
+        for orders in ROUNDS:
+            for order in orders:
+                found = leader_links(full, comps, order, num, den)
+                links = found if links is None else links.unionAll(found)
+            links = store(links, "near-links")
+            comps = store(components(links), "near-components")
+    rows = store(prefix_rows(prefixes, comps), "near-rows")
     tokens = store(open_tokens(rows), "near-open")
-    links = store(links.unionAll(block_links(full, rows, tokens, num, den)), "near-links")
+    with settings(spark, {ARROW_ROWS: "1"}):
+        links = store(links.unionAll(block_links(full, rows, tokens, num, den)), "near-links")
     # A crowded token's sets have all met. The others are looked at with the components as they are now.
     settled = components(links).withColumnRenamed("component", "now")
     rows = rows.join(tokens.where(F.col("sets") <= CROWD).select("token"), "token", "left_semi")
     rows = rows.join(settled, "id", "left").select("id", "n", F.coalesce("now", "id").alias("comp"), "token")
-    rows = store(rows, "near-prefixes")
-    pairs = store(cross_candidates(full, rows, store(open_tokens(rows), "near-open"), num, den), "near-candidates")
+    rows = store(rows, "near-rows")
+    pairs = store(cross_candidates(prefixes, rows, store(open_tokens(rows), "near-open"), num, den), "near-candidates")
     one = full.select(F.col("id").alias("a"), "tokens")
     other = full.select(F.col("id").alias("b"), F.array(F.struct("id", "tokens")).alias("others"))
-    more = store(verified(pairs.join(one, "a").join(other, "b"), num, den), "near-links")
-    prepared(docs.sparkSession)
+    with settings(spark, {ARROW_ROWS: str(VERIFY_ROWS)}):
+        more = store(verified(pairs.join(one, "a").join(other, "b"), num, den), "near-links")
     joined = components(links.unionAll(more)).withColumnRenamed("id", "rep")
     members = sets.select("doc_id", *mark).join(classes.select("rep", *mark), mark, "left").join(joined, "rep", "left")
     return members.select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
