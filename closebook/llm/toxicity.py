@@ -29,10 +29,15 @@ from closebook.llm.shingles import words_of
 WINDOW, STRIDE = 32, 16
 STATES = 8
 VECTOR = 8
-WORDS, TRIGRAMS = 1 << 15, 1 << 13
+# Buckets enough that few words share one: a frequent word would hide another's odds.
+WORDS, TRIGRAMS = 1 << 19, 1 << 15
 # The bound of the fitted sample: rows of each label, and words of a row.
 TOXIC_ROWS, OTHER_ROWS, ROW_WORDS = 1500, 3000, 3000
-ROUNDS, EPOCHS, BATCH, RATE = 3, 4, 256, 0.01
+ROUNDS, EPOCHS, BATCH, RATE = 2, 2, 256, 0.01
+# Texts that a word or trigram must stand in before its odds count, and how slowly they then grow.
+SUPPORT, SLOW = 8, 10
+# The weight of toxic texts in learning, however many they are.
+TOXIC_SHARE = 0.5
 RESULTS = ("score", "predicted")
 
 _SEPARATES = np.ones(256, dtype=bool)
@@ -193,17 +198,18 @@ class Network:
 
 
 def _odds(words: Words, toxic: np.ndarray, entry: np.ndarray, doc: np.ndarray, size: int) -> np.ndarray:
-    """Smoothed log odds of toxic texts having each bucket, less where few texts have it."""
+    """Smoothed log odds of toxic texts having each bucket, less where few texts have it, none where hardly any has: the
+    odds of words that only the sample's own texts have would be learned by heart."""
     pairs = np.unique(doc * np.int64(size) + entry)
     doc, entry = pairs // size, pairs % size
     yes = np.bincount(entry[toxic[doc]], minlength=size)
     no = np.bincount(entry[~toxic[doc]], minlength=size)
     odds = np.log((yes + 0.5) / (toxic.sum() + 1)) - np.log((no + 0.5) / ((~toxic).sum() + 1))
-    return (odds * (yes + no) / (yes + no + 4)).astype(np.float32)
+    return np.where(yes + no >= SUPPORT, odds * (yes + no) / (yes + no + SLOW), 0).astype(np.float32)
 
 
 def fit(texts: list[str], labels: list[int], seed: int = 9) -> Network:
-    """Train on a sample by Adam; both labels weigh alike."""
+    """Train on a sample by Adam; both labels weigh as ``TOXIC_SHARE`` says."""
     network, toxic = Network(seed), np.array(labels, dtype=bool)
     network.share = float(toxic.mean()) if len(toxic) else 0.0
     if not toxic.any() or toxic.all():
@@ -234,7 +240,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 9) -> Network:
         other = other[~toxic[doc[other]]][: len(worst)]
         chosen = np.concatenate([worst, other])
         wanted = toxic[doc[chosen]].astype(np.float32)
-        share = np.where(wanted > 0, 0.5 / wanted.sum(), 0.5 / (len(wanted) - wanted.sum())) * len(wanted)
+        share = np.where(wanted > 0, TOXIC_SHARE / wanted.sum(), (1 - TOXIC_SHARE) / (len(wanted) - wanted.sum())) * len(wanted)
         for _ in range(EPOCHS):
             mixed = draws.permutation(len(chosen))
             for i in range(0, len(mixed), BATCH):
@@ -255,7 +261,13 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
     known = known.select(F.col(doc_id).alias("id"), (F.col(label) == 1).cast("int").alias("y"))
     wanted = F.when(F.col("y") == 1, F.lit(TOXIC_ROWS)).otherwise(F.lit(OTHER_ROWS))
-    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64(F.lit(9), "id"), "id"))
+    # A part of the hash range that surely holds enough of each label comes first, so that no window holds all labels.
+    sizes = {row["y"]: row["n"] for row in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    part = F.lit(0.0)
+    for y, most in ((1, TOXIC_ROWS), (0, OTHER_ROWS)):
+        part = F.when(F.col("y") == y, F.lit(min(1.0, 2 * most / max(sizes.get(y, 0), 1)))).otherwise(part)
+    known = known.where(F.pmod(F.xxhash64(F.lit(9), "id"), F.lit(1 << 20)) < part * (1 << 20))
+    place = F.row_number().over(Window.partitionBy("y").orderBy(F.pmod(F.xxhash64(F.lit(9), "id"), F.lit(1 << 20)), "id"))
     few = known.withColumn("r", place).where(F.col("r") <= TOXIC_ROWS + OTHER_ROWS).where(F.col("r") <= wanted).select("id", "y")
     # At most the two bounds of rows, so sent to all tasks.
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(few), "id")
