@@ -2,6 +2,50 @@
 
 from __future__ import annotations
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1_NEAR_JOIN = rf"""
+with recursive listed as (
+    select doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) as words from documents
+), cut as (
+    select doc_id, case when len(words) between 1 and 2 then [array_to_string(words, ' ')]
+                        when len(words) = 0 then []
+                        else list_distinct(list_transform(range(1, len(words) - 1),
+                                 lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) end as shingles
+    from listed
+), sized as (
+    select doc_id, shingles, len(shingles)::bigint as n from cut
+), single as (
+    select doc_id, n, unnest(shingles) as shingle from sized
+), shared as (
+    select a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb, count(*) as both_n
+    from single a join single b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+), links as (
+    select a, b from shared where 100 * both_n >= 90 * (na + nb - both_n)
+), edges as (
+    select a, b from links union all select b, a from links
+), reached as (
+    select doc_id as a, doc_id as b from sized
+    union
+    select reached.a, edges.b from reached join edges on reached.b = edges.a
+)
+select doc_id, n as n_shingles, (select min(b) from reached where a = doc_id) as component_id from sized
+"""
+
+OP2_TOP_K = """
+with vectors as (
+    select vec_id, list_transform(embedding, lambda x: floor(x::double * 1024)::bigint) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id as vec_id,
+           cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+    from vectors q join vectors c on c.vec_id <> q.vec_id and len(c.v) = len(q.v) where q.vec_id % 100 = 0
+), ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as place from scored
+)
+select query_id, cast(place as integer) as rank, vec_id, score from ranked where place <= 10
+"""
+
 OP11_WARC = """
 with records as (
     select page_id, coalesce(html, '') as payload,
@@ -85,6 +129,8 @@ from final join {last} using (cluster)"""
 
 
 ORACLES: dict[str, str] = {
+    "op1_near_join": OP1_NEAR_JOIN,
+    "op2_top_k": OP2_TOP_K,
     "op11_warc": OP11_WARC,
     "op12_lexical": OP12_LEXICAL,
     "op13_centroids": _means(),
