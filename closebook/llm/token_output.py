@@ -28,7 +28,7 @@ ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2000
 # Distinct words that a Python worker remembers; beyond it starts afresh. Results do not depend on it.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1_200_000
 
 OPTIONS = {
     "compression": "zstd",
@@ -45,8 +45,8 @@ OPTIONS = {
 class WordEncoder:
     """Ids of texts, exactly as the tokenizer gives them, by encoding each distinct blank-free piece once.
 
-    Pieces are independent for a tokenizer that splits on white space and drops it. Texts with the separators U+001C
-    to U+001F, which Python but not the tokenizer takes as white space, are encoded whole.
+    Pieces are independent for a tokenizer that splits on white space and drops it. Texts are cut as UTF-8 at ASCII
+    blanks alone, which both take as white space; a piece with any other kind in it is encoded as it is.
     """
 
     def __init__(self, path: str, end_id: int, known: int = KNOWN_WORDS):
@@ -69,11 +69,11 @@ class WordEncoder:
         self.ids = [np.array([self.end_id], dtype=np.int32)]
         self.lengths = [np.array([1], dtype=np.int64)]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes | str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, with the end id after each text, and the number of ids of each text."""
         if len(self.codes) > self.known:
             self._reset()
-        pieces = [self._pieces(t) for t in texts]
+        pieces = [self._pieces(t.encode() if isinstance(t, str) else t) for t in texts]
         counts = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
         found = np.fromiter(
             map(self.codes.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=int(counts.sum())
@@ -85,26 +85,26 @@ class WordEncoder:
         return values, np.diff(np.cumsum(sizes)[ends + np.arange(len(ends))], prepend=0)
 
     @staticmethod
-    def _pieces(text: str) -> list[str]:
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return [text]
-        if "<|" in text:  # may hold a special token, whose case matters
+    def _pieces(text: bytes) -> list[bytes]:
+        if b"<|" in text:  # may hold a special token, whose case matters
             return text.split()
         # Lowering ASCII letters commutes with composing characters and with the tokenizer's own lower case.
-        return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass").split()
+        return text.lower().split()
 
     def _tables(self) -> tuple[np.ndarray, np.ndarray]:
         self.ids, self.lengths = [np.concatenate(self.ids)], [np.concatenate(self.lengths)]
         return self.ids[0], self.lengths[0]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         """Encode new pieces. Letters and one final comma or full stop are token groups of their own, so that words
-        share their ids with and without it."""
+        share their ids with and without it. The last letter must be ASCII: others may end in a mark once they are
+        normalised, and a mark does not part from what follows it."""
+        pieces = [piece.decode("utf-8", "replace") for piece in new]
         stems: dict[str, int] = {}
         at, tails = [], []
         for piece in pieces:
             tail = self.tails.get(piece[-1:], 0)
-            if tail and piece[:-1].isalpha():
+            if tail and piece[:-1].isalpha() and piece[-2].isascii():
                 piece = piece[:-1]
             else:
                 tail = 0
@@ -160,16 +160,16 @@ class _Codes(dict):
     """Piece to code; unknown pieces get the next code and are remembered as new. Code 0 is the end id."""
 
     def __init__(self):
-        self.new: list[str] = []
+        self.new: list[bytes] = []
         self.next = 1
 
-    def __missing__(self, piece: str) -> int:
+    def __missing__(self, piece: bytes) -> int:
         code = self[piece] = self.next
         self.next += 1
         self.new.append(piece)
         return code
 
-    def take(self) -> list[str]:
+    def take(self) -> list[bytes]:
         new, self.new = self.new, []
         return new
 
@@ -194,7 +194,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use, part, start = encoder(tokenizer, end_id), TaskContext.get().partitionId(), 0
         for batch in slices(batches, "text"):
-            ids, sizes = use.encode(batch.column("text").to_pylist())
+            ids, sizes = use.encode(batch.column("text").cast(pa.binary()).to_pylist())
             ends = np.cumsum(sizes)
             lists = pa.ListArray.from_arrays(pa.array(np.insert(ends, 0, 0), pa.int32()), pa.array(ids))
             starts = pa.array(start + ends - sizes)
