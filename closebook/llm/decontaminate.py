@@ -2,17 +2,20 @@
 
 1. TF-IDF over the benchmark's vocabulary: document frequencies count over all passages (blocks of ``PASSAGE`` words)
    of all texts.
-2. Randomised SVD: every task turns its passages A into a part of A'(A W) for one random matrix W; the parts are summed
-   in Spark, and the Nystroem form of that sum gives the leading right singular vectors. The benchmark's own rows
-   take part, with as much weight as all passages together.
+2. Randomised SVD, in the same scan: every task turns its passages' term frequencies T into a part of T'(T W) for one
+   random matrix W; the parts are summed in Spark. With the weights D that the counts then give, D T'(T W) is the
+   product of the TF-IDF matrix's square with the random matrix W / D, and its Nystroem form gives the leading right
+   singular vectors. The benchmark's own rows take part, with as much weight as all passages together. The rank is
+   ``RANK``, or a quarter of the block's items when that is more.
 3. Every text is cut into overlapping windows, for each length of items such that an item lies in one whole, wherever
    it stands, with up to a quarter as many words put in between. Windows and items are compared in the latent space,
-   by cosine and by how much of the item the window covers.
+   by cosine and by how much of the item the window covers. As a latent space of any rank may lose a passage, the
+   words around every run of ``LEAST`` words that an item holds, too, are candidates as well: no verbatim item is lost.
 4. Candidates are verified word by word: the longest common subsequence must hold ``MATCH`` of the item's words, and
    ``ANSWER`` of the words of the item's last sentence, which bears its answer.
 
 The benchmark is the query set. It is handled in blocks of ``ITEMS`` items, so what is broadcast has a bound
-(``ITEMS`` items of at most ``WORDS`` words in all); texts are scanned once for each step of a block and never shuffled.
+(``ITEMS`` items of at most ``WORDS`` words in all); texts are scanned twice for a block and never shuffled.
 
 Defined cases: null or empty texts and items match nothing; an item of fewer than ``LEAST`` words is too common to
 judge and matches nothing; equal texts match alike; an empty table or benchmark gives no rows; other columns are
@@ -30,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from closebook.llm.common import prepared, slices
-from closebook.llm.shingles import word_hashes
+from closebook.llm.shingles import mix64, word_hashes
 
 PASSAGE = 32
 STRIDE = 16
 RANK = 64
-ITEMS, WORDS = 1000, 200_000
+ITEMS, WORDS = 1000, 50_000
 LEAST = 5
 COSINE, COVER = 0.25, 0.5
 MATCH, ANSWER = 0.6, 0.5
@@ -120,6 +123,45 @@ class Vocabulary:
         return out
 
 
+class ItemRuns:
+    """All runs of ``LEAST`` words of the items, and where they are found in texts."""
+
+    def __init__(self, items: list[Item]):
+        runs = [run_hashes(np.array(x.words, dtype=np.uint64)) for x in items]
+        item = np.repeat(np.arange(len(items)), [len(r) for r in runs])
+        place = np.concatenate([np.arange(len(r)) for r in runs])
+        every = np.concatenate(runs)
+        order = np.argsort(every, kind="stable")
+        self.item, self.place = item[order], place[order]
+        self.table = Vocabulary(np.unique(every))
+        self.edges = np.append(np.searchsorted(every[order], self.table.words), len(every))
+
+    def found(self, hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Text, item and the place where the item would begin, for every run that a text shares with an item; places of
+        one item that lie close together are given once."""
+        at = self.table.places(run_hashes(hashes))
+        hits = np.flatnonzero(at >= 0)
+        doc = np.searchsorted(np.cumsum(counts), hits, side="right")
+        inside = hits + LEAST <= np.cumsum(counts)[doc] if len(hits) else hits.astype(bool)
+        hits, doc = hits[inside], doc[inside]
+        size = self.edges[at[hits] + 1] - self.edges[at[hits]]
+        entry = np.repeat(self.edges[at[hits]] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        doc, item = np.repeat(doc, size), self.item[entry]
+        start = np.repeat(hits, size) - self.place[entry]
+        keys = np.unique(np.stack([doc, item, start // STRIDE], axis=1), axis=0, return_index=True)[1] if len(doc) else []
+        for i in keys:
+            yield int(doc[i]), int(item[i]), int(start[i])
+
+
+def run_hashes(hashes: np.ndarray) -> np.ndarray:
+    """A hash of the ``LEAST`` words from every word on, across texts; callers leave out those that end in another."""
+    size = max(len(hashes) - LEAST + 1, 0)
+    out = np.zeros(size, dtype=np.uint64)
+    for k in range(LEAST):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + size]
+    return mix64(out)
+
+
 def _blocks(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Block of every word when each text is cut into blocks of ``size`` words, and the number of blocks of each text."""
     n = -(-counts // size)
@@ -147,70 +189,64 @@ def _segments(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def document_frequencies(texts: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, int]:
-    """How many passages hold each word, and how many passages there are."""
-    held = texts.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, found, total = held.value, np.zeros(len(held.value.words) + 1, dtype=np.int64), 0
-        for batch in slices(batches, "text"):
-            _, place, _, n = _passages(batch, known)
-            found[:-1] += np.bincount(place, minlength=len(found) - 1)
-            total += n
-        found[-1] = total
-        there = np.flatnonzero(found)
-        yield pa.record_batch([pa.array(there), pa.array(found[there])], names=["place", "n"])
-
-    rows = texts.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(vocabulary.words) + 1, dtype=np.int64)
-    for row in rows:
-        out[row["place"]] = row["n"]
-    return out[:-1], int(out[-1])
-
-
-def _tfidf(times: np.ndarray, idf: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+def _weights(times: np.ndarray, idf: np.ndarray | float, group: np.ndarray, n: int) -> np.ndarray:
     """Unit-length weights of the words of passages."""
     value = (1 + np.log(times)) * idf
     norm = np.sqrt(np.bincount(group, weights=value * value, minlength=n))
     return (value / np.maximum(norm[group], 1e-12)).astype(np.float32)
 
 
-def latent_basis(texts: DataFrame, vocabulary: Vocabulary, idf: np.ndarray, items: list[Item], passages: int) -> np.ndarray:
-    """Leading right singular vectors of all passages and items: words x rank, orthonormal columns."""
+def _project(group: np.ndarray, place: np.ndarray, value: np.ndarray, n: int, random: np.ndarray, into: np.ndarray) -> None:
+    """Adds A'(A W) of some passages, given by their entries, to ``into``."""
+    seen = _segments(random[place] * value[:, None], group, n)
+    order = np.argsort(place, kind="stable")
+    into += _segments(seen[group[order]] * value[order, None], place[order], len(into))
+
+
+def latent_space(texts: DataFrame, vocabulary: Vocabulary, items: list[Item]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the words, and the leading right singular vectors of all passages and items: words x rank, orthonormal
+    columns. One scan of the texts."""
     size = len(vocabulary.words)
-    rank = min(RANK, size)
+    rank = min(max(RANK, len(items) // 4), size)
     sketch = np.random.default_rng(5).standard_normal((size, rank)).astype(np.float32)
-    held = texts.sparkSession.sparkContext.broadcast((vocabulary, idf, sketch))
-
-    def project(group: np.ndarray, place: np.ndarray, value: np.ndarray, n: int, random: np.ndarray, into: np.ndarray) -> None:
-        seen = _segments(random[place] * value[:, None], group, n)
-        order = np.argsort(place, kind="stable")
-        into += _segments(seen[group[order]] * value[order, None], place[order], len(into))
+    held = texts.sparkSession.sparkContext.broadcast((vocabulary, sketch))
 
     def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weight, random = held.value
+        known, random = held.value
         total = np.zeros((len(known.words), random.shape[1]), dtype=np.float32)
+        found, passages = np.zeros(len(known.words), dtype=np.int64), 0
         for batch in slices(batches, "text", 1 << 20):
             group, place, times, n = _passages(batch, known)
-            project(group, place, _tfidf(times, weight[place], group, n), n, random, total)
-        there = np.flatnonzero(total.any(1))
+            found += np.bincount(place, minlength=len(found))
+            passages += n
+            _project(group, place, _weights(times, 1.0, group, n), n, random, total)
+        there = np.flatnonzero(found)
         edges = np.arange(len(there) + 1, dtype=np.int32) * random.shape[1]
         rows = pa.ListArray.from_arrays(pa.array(edges), pa.array(total[there].astype(np.float64).ravel()))
-        yield pa.record_batch([pa.array(there), rows], names=["place", "part"])
-
-    parts = texts.mapInArrow(sketched, "place long, part array<double>")
-    sums = F.array(*[F.sum(F.col("part")[i]) for i in range(rank)]).alias("part")
-    gram = np.zeros((size, rank))
-    for row in parts.groupBy("place").agg(sums).collect():
-        gram[row["place"]] = row["part"]
+        yield pa.record_batch([pa.array(there), pa.array(found[there]), rows], names=["place", "n", "part"])
+        # The number of passages, as a word of its own.
+        none = pa.array([[]], pa.list_(pa.float64()))
+        yield pa.record_batch([pa.array([-1]), pa.array([passages]), none], names=["place", "n", "part"])
+
+    parts = texts.mapInArrow(sketched, "place long, n long, part array<double>")
+    sums = F.array(*[F.sum(F.try_element_at("part", F.lit(i + 1))) for i in range(rank)]).alias("part")
+    gram, counts, passages = np.zeros((size, rank)), np.zeros(size, dtype=np.int64), 0
+    for row in parts.groupBy("place").agg(F.sum("n").alias("n"), sums).collect():
+        if row["place"] < 0:
+            passages = row["n"]
+        else:
+            gram[row["place"]], counts[row["place"]] = row["part"], row["n"]
+    idf = np.log((passages + len(items) + 1) / (counts + 1.0))
+    scale = np.maximum(idf, 1e-3)[:, None]
+    gram, sketch = gram * scale, (sketch / scale).astype(np.float32)
 
     pairs = [np.unique(vocabulary.places(np.array(x.words, dtype=np.uint64)), return_counts=True) for x in items]
     group = np.repeat(np.arange(len(items)), [len(p[0]) for p in pairs])
     place, times = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
     own = np.zeros((size, rank), dtype=np.float32)
-    project(group, place, _tfidf(times, idf[place], group, len(items)), len(items), sketch, own)
+    _project(group, place, _weights(times, idf[place], group, len(items)), len(items), sketch, own)
     gram += own * max(1.0, passages / len(items))
-    return nystroem(gram, sketch)
+    return idf, nystroem(gram, sketch)
 
 
 def nystroem(gram: np.ndarray, sketch: np.ndarray) -> np.ndarray:
@@ -250,26 +286,24 @@ RESULT = "doc_id long, item_id long, lcs double, answer_lcs double"
 
 def _block_leaks(spark: SparkSession, texts: DataFrame, items: list[Item]) -> DataFrame:
     vocabulary = Vocabulary(np.unique(np.concatenate([np.array(x.words, dtype=np.uint64) for x in items])))
-    counts, passages = document_frequencies(texts, vocabulary)
-    idf = np.log((passages + len(items) + 1) / (counts + 1.0))
-    basis = latent_basis(texts, vocabulary, idf, items, passages)
+    idf, basis = latent_space(texts, vocabulary, items)
     weighted = (basis * idf[:, None]).astype(np.float32)
     latent = np.array([weighted[vocabulary.places(np.array(x.words, dtype=np.uint64))].sum(0) for x in items])
-    held = spark.sparkContext.broadcast((vocabulary, weighted, latent, items))
+    held = spark.sparkContext.broadcast((vocabulary, weighted, latent, items, ItemRuns(items)))
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weight, queries, wanted = held.value
+        known, weight, queries, wanted, runs = held.value
         # Items by the windows that surely hold them whole.
         spans = defaultdict(list)
         for k, item in enumerate(wanted):
             spans[windows(len(item.words))].append(k)
         for batch in slices(batches, "text", 1 << 20):
-            yield _matches(batch, known, weight, queries, wanted, spans)
+            yield _matches(batch, known, weight, queries, wanted, spans, runs)
 
     return texts.mapInArrow(search, RESULT)
 
 
-def _matches(batch, known: Vocabulary, weight: np.ndarray, queries: np.ndarray, items: list[Item], spans: dict[tuple[int, int], list[int]]):
+def _matches(batch, known: Vocabulary, weight: np.ndarray, queries: np.ndarray, items: list[Item], spans: dict[tuple[int, int], list[int]], runs: ItemRuns):
     hashes, counts = word_hashes(batch.column("text").to_pylist())
     block, n = _blocks(counts, STRIDE)
     place = known.places(hashes)
@@ -280,6 +314,18 @@ def _matches(batch, known: Vocabulary, weight: np.ndarray, queries: np.ndarray,
     last = (first_block + n)[doc_of]
     sums = np.vstack([np.zeros((1, strides.shape[1])), np.cumsum(strides, axis=0, dtype=np.float64)])
     out: dict[tuple[int, int], tuple[float, float]] = {}
+
+    def judge(doc: int, k: int, a: int, b: int) -> None:
+        item = items[k]
+        whole, answer = item.common(hashes[a:b].tolist())
+        whole, answer = whole / len(item.words), answer / (len(item.words) - item.answer)
+        if whole >= MATCH and answer >= ANSWER:
+            out[doc, k] = max(out.get((doc, k), (0.0, 0.0)), (whole, answer))
+
+    stops = first_word + counts
+    for doc, k, start in runs.found(hashes, counts):
+        slack = len(items[k].words) // 4 + 1
+        judge(doc, k, max(start - slack, first_word[doc]), min(start + len(items[k].words) + slack, stops[doc]))
     for (span, step), ks in spans.items():
         # A window of ``span`` strides begins at every ``step``; those at a text's end are shorter.
         begin = np.flatnonzero((np.arange(len(doc_of)) - first_block[doc_of]) % step == 0)
@@ -292,13 +338,9 @@ def _matches(batch, known: Vocabulary, weight: np.ndarray, queries: np.ndarray,
             dots = window[at : at + 8192] @ q.T
             near = (dots >= COVER * energy) & (dots >= COSINE * np.sqrt(energy) * np.maximum(length[at : at + 8192], 1e-12)[:, None])
             for w, k in zip(*np.nonzero(near), strict=True):
-                doc, item = int(doc_of[begin[at + w]]), items[ks[k]]
+                doc = int(doc_of[begin[at + w]])
                 offset = first_word[doc] - first_block[doc] * STRIDE
-                a, b = begin[at + w] * STRIDE + offset, min(end[at + w] * STRIDE + offset, first_word[doc] + counts[doc])
-                whole, answer = item.common(hashes[a:b].tolist())
-                whole, answer = whole / len(item.words), answer / (len(item.words) - item.answer)
-                if whole >= MATCH and answer >= ANSWER:
-                    out[doc, ks[k]] = max(out.get((doc, ks[k]), (0.0, 0.0)), (whole, answer))
+                judge(doc, ks[k], begin[at + w] * STRIDE + offset, min(end[at + w] * STRIDE + offset, stops[doc]))
     ids = batch.column("doc_id").to_pylist()
     keys = sorted(out)
     columns = [
