@@ -103,3 +103,26 @@ def test_paraphrases_at_all_offsets(spark):
     docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in d.find_leaks(docs, benchmark).collect()}
     assert found == want
+
+
+def test_a_large_block_loses_no_verbatim_item(spark):
+    """1,000 items, each planted once within another text; some more with words replaced."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(6000)]
+    words = lambda n: [vocabulary[int(6000 * rng.random() ** 2)] for _ in range(n)]
+    items = [words(rng.randint(15, 59)) for _ in range(1000)]
+    docs, loose = [], set()
+    for k, item in enumerate(items):
+        docs.append((k, " ".join(words(rng.randint(20, 200)) + item + words(rng.randint(20, 200)))))
+        changed = [x if rng.random() > 0.25 else rng.choice(vocabulary) for x in item]
+        whole, answer = d.Item(k, [hash(x) for x in item], 0).common([hash(x) for x in changed])
+        if whole >= d.MATCH * len(item):
+            loose.add(k)
+        docs.append((1000 + k, " ".join(words(40) + changed + words(40))))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in d.find_leaks(frame, benchmark).collect()}
+    assert {(k, k) for k in range(1000)} <= found
+    caught = sum((1000 + k, k) in found for k in loose)
+    assert caught >= 0.97 * len(loose)
+    assert len(found) < 2200

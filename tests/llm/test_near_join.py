@@ -114,3 +114,22 @@ def test_stars_are_the_components_of_links():
         both = [len(np.intersect1d(sets[i], s)) for s in sets]
         near = [k for k in range(40) if 100 * both[k] >= 90 * (len(sets[i]) + len(sets[k]) - both[k])]
         assert len({stars[k] for k in near}) == 1 and stars[i] <= i
+
+
+def test_settings_are_as_before(spark, odd_docs):
+    from closebook.llm.common import prepared
+
+    before = dict(prepared(spark).conf.getAll)
+    near_duplicates(odd_docs, 3, 90, 100).count()
+    assert dict(spark.conf.getAll) == before
+
+
+def test_frequent_tokens_come_last(spark):
+    """Passages that very many texts share do not crowd the prefixes, wherever their hashes fall."""
+    rng = np.random.default_rng(11)
+    shared = [" ".join(f"s{j}-{i}" for i in range(40)) for j in range(3)]
+    texts = [shared[i % 3] + " " + " ".join(f"w{x}" for x in rng.integers(0, 10**9, 30)) for i in range(600)]
+    texts += [texts[i] + " end" for i in range(0, 600, 50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_duplicates(df, 3, 90, 100).collect()}
+    assert found == {i: (i - 600) * 50 if i >= 600 else i for i in range(len(texts))}

@@ -60,3 +60,17 @@ def test_layout_and_selective_reads(spark, tmp_path):
     assert meta.column(column["doc_id"]).has_column_index
     plan = t.read_tokens(spark, path, tokens=False)._jdf.queryExecution().executedPlan().toString()
     assert "token_ids" not in plan
+
+
+def test_words_that_end_in_any_letter_before_a_mark():
+    """Every letter of the lower planes before a full stop or comma, and those whose lower case ends in a mark."""
+    tokenizer = Tokenizer.from_file(PATH)
+    letters = [chr(c) for c in range(0x30, 0x3000) if chr(c).isalpha()]
+    words = [f"a{c}{mark}" for c in letters for mark in ".,"] + [f"{c}." for c in letters]
+    words += ["İ.", "Aİ,", "xİ́.", "i̇.", "ŉ.", "a b.", "a b.", "a\x1cb.", "a\x85b,"]
+    use = t.WordEncoder(PATH, 2)
+    ids, sizes = use.encode(words)
+    want = [e.ids + [2] for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+    edges = [0, *sizes.cumsum().tolist()]
+    found = [ids[a:b].tolist() for a, b in zip(edges, edges[1:])]
+    assert [w for w, x, y in zip(words, found, want) if x != y] == []
