@@ -1,12 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. TF-IDF over the benchmark's vocabulary: document frequencies count over all passages (blocks of ``PASSAGE`` words)
-   of all texts.
-2. Randomised SVD, in the same scan: every task turns its passages' term frequencies T into a part of T'(T W) for one
-   random matrix W; the parts are summed in Spark. With the weights D that the counts then give, D T'(T W) is the
-   product of the TF-IDF matrix's square with the random matrix W / D, and its Nystroem form gives the leading right
-   singular vectors. The benchmark's own rows take part, with as much weight as all passages together. The rank is
-   ``RANK``, or a quarter of the block's items when that is more.
+   of all texts. The same scan writes each text as places in the vocabulary, which the later steps read.
+2. Randomised SVD: every task turns its passages A into a part of A'(A W) for one random matrix W; the parts are summed
+   in Spark, and the Nystroem form of that sum gives the leading right singular vectors. The benchmark's own rows
+   take part, with as much weight as all passages together. The rank is ``RANK``, or a quarter of the block's items when
+   that is more.
 3. Every text is cut into overlapping windows, for each length of items such that an item lies in one whole, wherever
    it stands, with up to a quarter as many words put in between. Windows and items are compared in the latent space,
    by cosine and by how much of the item the window covers. As a latent space of any rank may lose a passage, the
@@ -15,7 +14,7 @@
    ``ANSWER`` of the words of the item's last sentence, which bears its answer.
 
 The benchmark is the query set. It is handled in blocks of ``ITEMS`` items, so what is broadcast has a bound
-(``ITEMS`` items of at most ``WORDS`` words in all); texts are scanned twice for a block and never shuffled.
+(``ITEMS`` items of at most ``WORDS`` words in all); texts are scanned once for a block and never shuffled.
 
 Defined cases: null or empty texts and items match nothing; an item of fewer than ``LEAST`` words is too common to
 judge and matches nothing; equal texts match alike; an empty table or benchmark gives no rows; other columns are
@@ -32,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closebook.llm.common import prepared, slices
+from closebook.llm.common import prepared, slices, store
 from closebook.llm.shingles import mix64, word_hashes
 
 PASSAGE = 32
@@ -127,7 +126,7 @@ class ItemRuns:
     """All runs of ``LEAST`` words of the items, and where they are found in texts."""
 
     def __init__(self, items: list[Item]):
-        runs = [run_hashes(np.array(x.words, dtype=np.uint64)) for x in items]
+        runs = [run_hashes(np.array(x.words, dtype=np.int64)) for x in items]
         item = np.repeat(np.arange(len(items)), [len(r) for r in runs])
         place = np.concatenate([np.arange(len(r)) for r in runs])
         every = np.concatenate(runs)
@@ -136,10 +135,10 @@ class ItemRuns:
         self.table = Vocabulary(np.unique(every))
         self.edges = np.append(np.searchsorted(every[order], self.table.words), len(every))
 
-    def found(self, hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    def found(self, words: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Text, item and the place where the item would begin, for every run that a text shares with an item; places of
         one item that lie close together are given once."""
-        at = self.table.places(run_hashes(hashes))
+        at = self.table.places(run_hashes(words))
         hits = np.flatnonzero(at >= 0)
         doc = np.searchsorted(np.cumsum(counts), hits, side="right")
         inside = hits + LEAST <= np.cumsum(counts)[doc] if len(hits) else hits.astype(bool)
@@ -153,12 +152,13 @@ class ItemRuns:
             yield int(doc[i]), int(item[i]), int(start[i])
 
 
-def run_hashes(hashes: np.ndarray) -> np.ndarray:
-    """A hash of the ``LEAST`` words from every word on, across texts; callers leave out those that end in another."""
-    size = max(len(hashes) - LEAST + 1, 0)
+def run_hashes(words: np.ndarray) -> np.ndarray:
+    """A hash of the ``LEAST`` words, given by their places, from every word on, across texts; callers leave out those
+    that end in another."""
+    size, own = max(len(words) - LEAST + 1, 0), (words + 1).astype(np.uint64)
     out = np.zeros(size, dtype=np.uint64)
     for k in range(LEAST):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + size]
+        out = out * np.uint64(0x9E3779B97F4A7C15) + own[k : k + size]
     return mix64(out)
 
 
@@ -169,14 +169,50 @@ def _blocks(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.cumsum(n) - n, counts) + inside // size, n
 
 
-def _passages(batch: pa.RecordBatch, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def known_words(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``doc_id, places``: every text as the places of its words, -1 where unknown; and, in rows without places, how many
+    of a task's passages hold each word, the number of passages last."""
+    held = texts.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held.value
+        found, passages = np.zeros(len(known.words) + 1, dtype=np.int64), 0
+        for batch in slices(batches, "text"):
+            hashes, counts = word_hashes(batch.column("text").to_pylist())
+            place = known.places(hashes)
+            block, n = _blocks(counts, PASSAGE)
+            there = place >= 0
+            size = np.int64(len(known.words))
+            found[:-1] += np.bincount(np.unique(block[there] * size + place[there]) % size, minlength=len(known.words))
+            passages += int(n.sum())
+            lists = pa.ListArray.from_arrays(pa.array(np.insert(np.cumsum(counts), 0, 0), pa.int32()), pa.array(place, pa.int32()))
+            yield pa.record_batch([batch.column("doc_id"), lists, pa.nulls(len(counts), pa.list_(pa.int64()))], names=["doc_id", "places", "found"])
+        found[-1] = passages
+        nothing = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32()))]
+        yield pa.record_batch([*nothing, pa.array([found], pa.list_(pa.int64()))], names=["doc_id", "places", "found"])
+
+    return texts.mapInArrow(look, "doc_id long, places array<int>, found array<long>")
+
+
+def _parts(batches: Iterable[pa.RecordBatch], most: int = 1 << 18) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Ids, places of words and numbers of words of consecutive rows, of about ``most`` words together, one row at least."""
+    for batch in batches:
+        lists = batch.column("places")
+        edges = np.asarray(lists.offsets).astype(np.int64)
+        cuts = np.flatnonzero(np.diff((edges - edges[0]) // most, append=-1)) if len(edges) > 1 else []
+        a = 0
+        for b in sorted({max(int(c), 1) for c in cuts} | {batch.num_rows}):
+            if b > a:
+                part = lists.slice(a, b - a)
+                yield batch.column("doc_id").slice(a, b - a), np.asarray(part.flatten()).astype(np.int64), np.diff(edges[a : b + 1])
+                a = b
+
+
+def _passages(place: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Passage, word place and count of every pair of both that occurs, and the number of passages."""
-    hashes, counts = word_hashes(batch.column("text").to_pylist())
     block, n = _blocks(counts, PASSAGE)
-    place = vocabulary.places(hashes)
     known = place >= 0
-    size = np.int64(len(vocabulary.words))
-    pairs, times = np.unique(block[known] * size + place[known], return_counts=True)
+    pairs, times = np.unique(block[known] * np.int64(size) + place[known], return_counts=True)
     return pairs // size, pairs % size, times, int(n.sum())
 
 
@@ -203,44 +239,38 @@ def _project(group: np.ndarray, place: np.ndarray, value: np.ndarray, n: int, ra
     into += _segments(seen[group[order]] * value[order, None], place[order], len(into))
 
 
-def latent_space(texts: DataFrame, vocabulary: Vocabulary, items: list[Item]) -> tuple[np.ndarray, np.ndarray]:
+def latent_space(known: DataFrame, size: int, items: list[Item]) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the words, and the leading right singular vectors of all passages and items: words x rank, orthonormal
-    columns. One scan of the texts."""
-    size = len(vocabulary.words)
+    columns."""
+    counts, passages = np.zeros(size, dtype=np.int64), 0
+    for row in known.where("found is not null").select(F.posexplode("found")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
+        if row["pos"] == size:
+            passages = row["n"]
+        else:
+            counts[row["pos"]] = row["n"]
+    idf = np.log((passages + len(items) + 1) / (counts + 1.0))
     rank = min(max(RANK, len(items) // 4), size)
     sketch = np.random.default_rng(5).standard_normal((size, rank)).astype(np.float32)
-    held = texts.sparkSession.sparkContext.broadcast((vocabulary, sketch))
+    held = known.sparkSession.sparkContext.broadcast((idf, sketch))
 
     def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, random = held.value
-        total = np.zeros((len(known.words), random.shape[1]), dtype=np.float32)
-        found, passages = np.zeros(len(known.words), dtype=np.int64), 0
-        for batch in slices(batches, "text", 1 << 20):
-            group, place, times, n = _passages(batch, known)
-            found += np.bincount(place, minlength=len(found))
-            passages += n
-            _project(group, place, _weights(times, 1.0, group, n), n, random, total)
-        there = np.flatnonzero(found)
+        weight, random = held.value
+        total = np.zeros(random.shape, dtype=np.float32)
+        for _, places, lengths in _parts(batches):
+            group, place, times, n = _passages(places, lengths, len(random))
+            _project(group, place, _weights(times, weight[place], group, n), n, random, total)
+        there = np.flatnonzero(total.any(1))
         edges = np.arange(len(there) + 1, dtype=np.int32) * random.shape[1]
         rows = pa.ListArray.from_arrays(pa.array(edges), pa.array(total[there].astype(np.float64).ravel()))
-        yield pa.record_batch([pa.array(there), pa.array(found[there]), rows], names=["place", "n", "part"])
-        # The number of passages, as a word of its own.
-        none = pa.array([[]], pa.list_(pa.float64()))
-        yield pa.record_batch([pa.array([-1]), pa.array([passages]), none], names=["place", "n", "part"])
-
-    parts = texts.mapInArrow(sketched, "place long, n long, part array<double>")
-    sums = F.array(*[F.sum(F.try_element_at("part", F.lit(i + 1))) for i in range(rank)]).alias("part")
-    gram, counts, passages = np.zeros((size, rank)), np.zeros(size, dtype=np.int64), 0
-    for row in parts.groupBy("place").agg(F.sum("n").alias("n"), sums).collect():
-        if row["place"] < 0:
-            passages = row["n"]
-        else:
-            gram[row["place"]], counts[row["place"]] = row["part"], row["n"]
-    idf = np.log((passages + len(items) + 1) / (counts + 1.0))
-    scale = np.maximum(idf, 1e-3)[:, None]
-    gram, sketch = gram * scale, (sketch / scale).astype(np.float32)
+        yield pa.record_batch([pa.array(there), rows], names=["place", "part"])
+
+    parts = known.where("places is not null").select("doc_id", "places").mapInArrow(sketched, "place long, part array<double>")
+    sums = F.array(*[F.sum(F.col("part")[i]) for i in range(rank)]).alias("part")
+    gram = np.zeros((size, rank))
+    for row in parts.groupBy("place").agg(sums).collect():
+        gram[row["place"]] = row["part"]
 
-    pairs = [np.unique(vocabulary.places(np.array(x.words, dtype=np.uint64)), return_counts=True) for x in items]
+    pairs = [np.unique(x.words, return_counts=True) for x in items]
     group = np.repeat(np.arange(len(items)), [len(p[0]) for p in pairs])
     place, times = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
     own = np.zeros((size, rank), dtype=np.float32)
@@ -286,27 +316,31 @@ RESULT = "doc_id long, item_id long, lcs double, answer_lcs double"
 
 def _block_leaks(spark: SparkSession, texts: DataFrame, items: list[Item]) -> DataFrame:
     vocabulary = Vocabulary(np.unique(np.concatenate([np.array(x.words, dtype=np.uint64) for x in items])))
-    idf, basis = latent_space(texts, vocabulary, items)
+    # From here on a word is its place in the vocabulary.
+    items = [Item(x.item_id, vocabulary.places(np.array(x.words, dtype=np.uint64)).tolist(), x.answer) for x in items]
+    known = store(known_words(texts, vocabulary), "known-words")
+    idf, basis = latent_space(known, len(vocabulary.words), items)
     weighted = (basis * idf[:, None]).astype(np.float32)
-    latent = np.array([weighted[vocabulary.places(np.array(x.words, dtype=np.uint64))].sum(0) for x in items])
-    held = spark.sparkContext.broadcast((vocabulary, weighted, latent, items, ItemRuns(items)))
+    latent = np.array([weighted[x.words].sum(0) for x in items])
+    held = spark.sparkContext.broadcast((weighted, latent, items, ItemRuns(items)))
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weight, queries, wanted, runs = held.value
+        weight, queries, wanted, runs = held.value
         # Items by the windows that surely hold them whole.
         spans = defaultdict(list)
         for k, item in enumerate(wanted):
             spans[windows(len(item.words))].append(k)
-        for batch in slices(batches, "text", 1 << 20):
-            yield _matches(batch, known, weight, queries, wanted, spans, runs)
+        for ids, places, counts in _parts(batches):
+            yield _matches(ids, places, counts, weight, queries, wanted, spans, runs)
 
-    return texts.mapInArrow(search, RESULT)
+    return known.where("places is not null").select("doc_id", "places").mapInArrow(search, RESULT)
 
 
-def _matches(batch, known: Vocabulary, weight: np.ndarray, queries: np.ndarray, items: list[Item], spans: dict[tuple[int, int], list[int]], runs: ItemRuns):
-    hashes, counts = word_hashes(batch.column("text").to_pylist())
+def _matches(
+    doc_ids: pa.Array, place: np.ndarray, counts: np.ndarray, weight: np.ndarray, queries: np.ndarray, items: list[Item],
+    spans: dict[tuple[int, int], list[int]], runs: ItemRuns,
+) -> pa.RecordBatch:
     block, n = _blocks(counts, STRIDE)
-    place = known.places(hashes)
     there = np.flatnonzero(place >= 0)
     strides = _segments(weight[place[there]], block[there], int(n.sum()))
     first_word, first_block = np.cumsum(counts) - counts, np.cumsum(n) - n
@@ -317,13 +351,13 @@ def _matches(batch, known: Vocabulary, weight: np.ndarray, queries: np.ndarray,
 
     def judge(doc: int, k: int, a: int, b: int) -> None:
         item = items[k]
-        whole, answer = item.common(hashes[a:b].tolist())
+        whole, answer = item.common(place[a:b].tolist())
         whole, answer = whole / len(item.words), answer / (len(item.words) - item.answer)
         if whole >= MATCH and answer >= ANSWER:
             out[doc, k] = max(out.get((doc, k), (0.0, 0.0)), (whole, answer))
 
     stops = first_word + counts
-    for doc, k, start in runs.found(hashes, counts):
+    for doc, k, start in runs.found(place, counts):
         slack = len(items[k].words) // 4 + 1
         judge(doc, k, max(start - slack, first_word[doc]), min(start + len(items[k].words) + slack, stops[doc]))
     for (span, step), ks in spans.items():
@@ -341,7 +375,7 @@ def _matches(batch, known: Vocabulary, weight: np.ndarray, queries: np.ndarray,
                 doc = int(doc_of[begin[at + w]])
                 offset = first_word[doc] - first_block[doc] * STRIDE
                 judge(doc, ks[k], begin[at + w] * STRIDE + offset, min(end[at + w] * STRIDE + offset, stops[doc]))
-    ids = batch.column("doc_id").to_pylist()
+    ids = doc_ids.to_pylist()
     keys = sorted(out)
     columns = [
         pa.array([ids[d] for d, _ in keys], pa.int64()),
