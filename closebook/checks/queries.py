@@ -333,7 +333,7 @@ def _daily_published(b: Bindings) -> DataFrame:
 def _excluded_products(b: Bindings) -> DataFrame:
     """Lines whose product is not excluded, for a table of exclusions that is whole, holds a NULL, or is empty."""
     excluded = b.view(EXCLUDED)
-    tables = {"whole": excluded, "with_null": excluded.unionAll(excluded.limit(1).select(F.lit(None).cast("bigint"))), "empty": excluded.where("false")}
+    tables = {"whole": excluded, "with_null": excluded.unionAll(b.spark.range(1).select(F.lit(None).cast("bigint"))), "empty": excluded.where("false")}
     found = None
     for name, table in tables.items():
         kept = exclusions.excluded_by(b.view(SOLD), "sku", table)
@@ -343,9 +343,9 @@ def _excluded_products(b: Bindings) -> DataFrame:
 
 
 def _report_gate(b: Bindings) -> DataFrame:
-    found = None
+    found, days = None, store(b.run_days(), "days")
     for at in GATES:
-        gated = gate.report_gate(b.run_days(), REPORTS, b.view(SOURCE_RUNS), DEPENDENCIES, at)
+        gated = gate.report_gate(days, REPORTS, b.view(SOURCE_RUNS), DEPENDENCIES, at)
         found = gated if found is None else found.unionAll(gated)
     return found
 

@@ -12,11 +12,14 @@ def excluded_by(df: DataFrame, key: str, excluded: DataFrame, excluded_key: str
     * a NULL among the excluded keys: no row stays, as none is known not to be it;
     * else a row stays when it has a key and that is not excluded.
 
-    The engine's own form of it needs the whole exclusion table in every task. Here the NULLs are settled by one row of
-    counts, and the rest is an ordinary anti-join on the key, which may be broadcast or shuffled and split like any
-    other. Only distinct keys of the table are joined.
+    The engine's own form of it needs the whole exclusion table in every task. Here the NULLs are settled first, by one
+    small job that brings two counts to the driver, and the rest is an ordinary anti-join on the key, which may be
+    broadcast or shuffled and split like any other. Only distinct keys of the table are joined.
     """
     keys = excluded.select(F.col(excluded_key or key).alias(key))
-    facts = keys.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("unknown"))).scalar()
-    decided = (facts["n"] == 0) | ((facts["unknown"] == 0) & F.col(key).isNotNull())
-    return df.where(decided).join(keys.where(F.col(key).isNotNull()).distinct(), key, "left_anti").select(*df.columns)
+    facts = keys.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("unknown")).first()
+    if not facts.n:
+        return df
+    if facts.unknown:
+        return df.where(F.lit(False))
+    return df.where(F.col(key).isNotNull()).join(keys.distinct(), key, "left_anti").select(*df.columns)
