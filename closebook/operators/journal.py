@@ -128,7 +128,6 @@ def journal_lines(
     The sort keys of the credit rows stay on as helper columns for the file writer.
     """
     keys = ["file_no", "report_month", "partner"]
-    blank = F.lit("")
     debit = (
         stage.groupBy(*keys)
         .agg(F.sum("amount").cast("decimal(38,2)").alias("_debit"))
@@ -137,8 +136,7 @@ def journal_lines(
             F.lit(SUMMARY_ACCOUNT).alias("_account"),
             "_debit",
             F.lit(None).cast("decimal(38,2)").alias("_credit"),
-            blank.alias("_entity"),
-            blank.alias("_item"),
+            F.lit("").alias("_item"),
             F.lit(0).alias("rk"),
             F.lit(None).cast("bigint").alias("sku"),
             F.lit(None).cast("date").alias("payment_date"),
@@ -154,7 +152,6 @@ def journal_lines(
         .alias("_account"),
         F.lit(None).cast("decimal(38,2)").alias("_debit"),
         F.col("amount").cast("decimal(38,2)").alias("_credit"),
-        F.col("organization_id").cast("string").alias("_entity"),
         F.when(is_card, _pick(group, {k: v.item for k, v in card_targets.items()}))
         .otherwise(F.col("sku_num_desc"))
         .alias("_item"),
@@ -163,6 +160,22 @@ def journal_lines(
         "payment_date",
         "organization_id",
     )
+    return described(debit.unionByName(credit))
+
+
+def narrow(lines: DataFrame) -> DataFrame:
+    """What of ``journal_lines`` the other columns follow from: a shuffle needs no more."""
+    keys = ["file_no", "rk", "report_month", "partner", "sku", "payment_date", "organization_id"]
+    own = {
+        "_account": "journalItemLine_accountRef", "_debit": "journalItemLine_debitAmount",
+        "_credit": "journalItemLine_creditAmount", "_item": "Item Reference",
+    }
+    return lines.select(*keys, *[F.col(f"`{c}`").alias(name) for name, c in own.items()])
+
+
+def described(rows: DataFrame, *others: str) -> DataFrame:
+    """The lines of ``narrow`` rows, with the columns that follow from the month, the file, the partner and the kind of line,
+    and ``others`` of the rows."""
     label = month_label(F.col("report_month"))
     memo = F.concat(F.lit("Billed Revenue - "), label)
     values = (
@@ -175,15 +188,15 @@ def journal_lines(
         F.col("_account"),
         F.col("_debit"),
         F.col("_credit"),
-        F.when(is_card, F.concat(F.col("partner"), F.lit(" "), memo)).otherwise(memo),
-        F.col("_entity"),
+        F.when(F.col("partner") == CARD_PARTNER, F.concat(F.col("partner"), F.lit(" "), memo)).otherwise(memo),
+        F.when(F.col("rk") == 0, "").otherwise(F.col("organization_id").cast("string")),
         F.lit(None).cast("timestamp_ntz"),
         F.lit(None).cast("timestamp_ntz"),
-        blank,
+        F.lit(""),
         F.lit(None).cast("double"),
         F.col("_item"),
     )
-    return debit.unionByName(credit).select(
+    return rows.select(
         "file_no",
         "rk",
         *[v.alias(c) for v, c in zip(values, LINE_COLUMNS, strict=True)],
@@ -192,6 +205,7 @@ def journal_lines(
         "sku",
         "payment_date",
         "organization_id",
+        *others,
     )
 
 

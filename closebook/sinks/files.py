@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from closebook.functions.dates import partition_id
-from closebook.operators.journal import FILE_HEADER, FILE_NAME, LINE_COLUMNS
+from closebook.operators.journal import FILE_HEADER, FILE_NAME, LINE_COLUMNS, described, narrow
 from closebook.sinks.tables import PARTITION
 from closebook.sources.storage import filesystem, list_files
 
@@ -20,13 +20,17 @@ def write_journal_files(lines: DataFrame, folder: str) -> None:
     """One CSV per month and file number below ``folder/partition_id=<month>/file_no=<n>``, summary row first.
 
     All files are written by one job. A file is one task's output; numbering per month bounds it by the batch size
-    and the summary row. What an earlier run left in ``folder`` goes, whatever the session's overwrite mode.
+    and the summary row. Only what the other columns follow from is shuffled and sorted (``narrow``). What an earlier run left in ``folder`` goes, whatever the session's overwrite mode.
     """
     columns = [F.col(f"`{c}`").alias(FILE_HEADER.get(c, c)) for c in LINE_COLUMNS]
     (
-        lines.withColumn(PARTITION, partition_id(F.col("report_month")))
-        .repartition(PARTITION, "file_no")
-        .sortWithinPartitions(PARTITION, "file_no", "rk", "sku", "payment_date", "organization_id")
+        described(
+            narrow(lines)
+            .withColumn(PARTITION, partition_id(F.col("report_month")))
+            .repartition(PARTITION, "file_no")
+            .sortWithinPartitions(PARTITION, "file_no", "rk", "sku", "payment_date", "organization_id"),
+            PARTITION,
+        )
         .select(PARTITION, "file_no", *columns)
         .write.mode("overwrite")
         .options(**CSV_OPTIONS, maxRecordsPerFile=0, partitionOverwriteMode="static")

@@ -139,6 +139,24 @@ def test_journal_files(spark, ledger_lines, tmp_path):
     assert '""' not in (Path(folder) / "Billed_JE_1.csv").read_text()
 
 
+def test_only_what_tells_lines_apart_is_shuffled(spark, ledger_lines):
+    rows = j.narrow(ledger_lines)
+    assert not {"tranid", "subsidiary", "journalItemLine_memo", "journalItemLine_entityRef", "tranDate"} & set(rows.columns)
+    again = j.described(rows)
+    assert again.schema == ledger_lines.schema
+    assert sorted(map(str, again.collect())) == sorted(map(str, ledger_lines.collect()))
+
+
+def test_line_numbers_shuffle_no_lines(spark, tmp_path):
+    """The first place of each file is known to be little, however large the lines are thought to be."""
+    from closebook.checks.bindings import Bindings
+    from closebook.checks.queries import _je_file_lines
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60000")
+    plan = _je_file_lines(Bindings(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(path" not in plan and "BroadcastHashJoin [path" in plan
+
+
 def test_rerun_under_dynamic_overwrite_leaves_no_old_file(spark, ledger_lines, tmp_path):
     folder, setting = str(tmp_path / "billed_revenue"), "spark.sql.sources.partitionOverwriteMode"
     spark.conf.set(setting, "dynamic")
