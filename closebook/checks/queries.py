@@ -195,7 +195,8 @@ def _je_file_lines(b: Bindings) -> DataFrame:
     lines = b.spark.read.text(folder).select("value", "partition_id", "file_no", F.col("_metadata.file_path").alias("path"))
     # A ledger file has at most 9,999 rows and is read by one task, in order.
     placed = lines.withColumn("place", F.monotonically_increasing_id())
-    first = placed.groupBy("path").agg(F.min("place").alias("first"))
+    # Stored: Catalyst then knows that a row for each file is little, and need not shuffle the lines for the join.
+    first = store(placed.groupBy("path").agg(F.min("place").alias("first")), "first-lines")
     numbered = placed.join(first, "path").withColumn("line_no", F.col("place") - F.col("first"))
     cells = F.split("value", ",")
     return numbered.where("line_no > 0").select(
