@@ -58,20 +58,30 @@ class Item:
 
     def common(self, text: list[int]) -> tuple[int, int]:
         """Length of the longest common subsequence with a text, of the whole item and of its last sentence."""
-        return _subsequence(self.masks, len(self.words), 0, text), _subsequence(
-            self.masks, len(self.words) - self.answer, self.answer, text
-        )
+        held = self._held(text)
+        return _subsequence(held, len(self.words), 0), _subsequence(held, len(self.words) - self.answer, self.answer)
 
+    def match(self, text: list[int]) -> tuple[float, float] | None:
+        """Both lengths as shares, if they reach ``MATCH`` and ``ANSWER``. A text with too few of the item's words, in any
+        order, is out at once, and the last sentence is compared only if the whole item matches."""
+        held, size = self._held(text), len(self.words)
+        if len(held) / size < MATCH or (whole := _subsequence(held, size, 0) / size) < MATCH:
+            return None
+        answer = _subsequence(held, size - self.answer, self.answer) / (size - self.answer)
+        return (whole, answer) if answer >= ANSWER else None
 
-def _subsequence(masks: dict[int, int], size: int, skip: int, text: Iterable[int]) -> int:
-    """Bit-parallel length of the longest common subsequence with the words from ``skip`` on."""
+    def _held(self, text: list[int]) -> list[int]:
+        """The masks of the words of a text that the item has, too."""
+        return [self.masks[word] for word in text if word in self.masks]
+
+
+def _subsequence(held: list[int], size: int, skip: int) -> int:
+    """Bit-parallel length of the longest common subsequence of a text, given by masks, and the words from ``skip`` on."""
     full = (1 << size) - 1
     row = full
-    for word in text:
-        here = masks.get(word)
-        if here:
-            step = row & (here >> skip)
-            row = ((row + step) | (row - step)) & full
+    for here in held:
+        step = row & (here >> skip)
+        row = ((row + step) | (row - step)) & full
     return size - row.bit_count()
 
 
@@ -216,12 +226,29 @@ def _passages(place: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndar
     return pairs // size, pairs % size, times, int(n.sum())
 
 
-def _segments(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows of ``values`` by ascending ``group``."""
-    out = np.zeros((n, values.shape[1]), dtype=np.float32)
-    if len(group):
-        first = np.flatnonzero(np.diff(group, prepend=-1))
-        out[group[first]] = np.add.reduceat(values, first, axis=0)
+def _segments(table: np.ndarray, at: np.ndarray, group: np.ndarray, n: int, factor: np.ndarray | None = None, most: int = 32) -> np.ndarray:
+    """Sums by ascending ``group`` of the rows ``at`` of ``table``, each times its ``factor``."""
+    out = np.zeros((n, table.shape[1]), dtype=np.float32)
+    if not len(group):
+        return out
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    inside = np.arange(len(group)) - np.repeat(first, np.diff(first, append=len(group)))
+    # Groups are cut into pieces of ``most`` rows; the k-th rows of all pieces, long ones first, are added at once.
+    start = np.flatnonzero(inside % most == 0)
+    size = np.diff(start, append=len(group))
+    order = np.argsort(-size, kind="stable")
+    longer = len(size) - np.cumsum(np.bincount(size))
+    sums = np.zeros((len(start), table.shape[1]), dtype=np.float32)
+    for k in range(len(longer) - 1):
+        rows = start[order[: longer[k]]] + k
+        part = table[at[rows]]
+        if factor is not None:
+            part *= factor[rows, None]
+        sums[: len(rows)] += part
+    pieces = np.empty_like(sums)
+    pieces[order] = sums
+    whole = np.flatnonzero(inside[start] == 0)
+    out[group[first]] = pieces if len(whole) == len(start) else np.add.reduceat(pieces, whole, axis=0)
     return out
 
 
@@ -234,9 +261,9 @@ def _weights(times: np.ndarray, idf: np.ndarray | float, group: np.ndarray, n: i
 
 def _project(group: np.ndarray, place: np.ndarray, value: np.ndarray, n: int, random: np.ndarray, into: np.ndarray) -> None:
     """Adds A'(A W) of some passages, given by their entries, to ``into``."""
-    seen = _segments(random[place] * value[:, None], group, n)
+    seen = _segments(random, place, group, n, value)
     order = np.argsort(place, kind="stable")
-    into += _segments(seen[group[order]] * value[order, None], place[order], len(into))
+    into += _segments(seen, group[order], place[order], len(into), value[order])
 
 
 def latent_space(known: DataFrame, size: int, items: list[Item]) -> tuple[np.ndarray, np.ndarray]:
@@ -342,7 +369,7 @@ def _matches(
 ) -> pa.RecordBatch:
     block, n = _blocks(counts, STRIDE)
     there = np.flatnonzero(place >= 0)
-    strides = _segments(weight[place[there]], block[there], int(n.sum()))
+    strides = _segments(weight, place[there], block[there], int(n.sum()))
     first_word, first_block = np.cumsum(counts) - counts, np.cumsum(n) - n
     doc_of = np.repeat(np.arange(len(n)), n)
     last = (first_block + n)[doc_of]
@@ -350,11 +377,9 @@ def _matches(
     out: dict[tuple[int, int], tuple[float, float]] = {}
 
     def judge(doc: int, k: int, a: int, b: int) -> None:
-        item = items[k]
-        whole, answer = item.common(place[a:b].tolist())
-        whole, answer = whole / len(item.words), answer / (len(item.words) - item.answer)
-        if whole >= MATCH and answer >= ANSWER:
-            out[doc, k] = max(out.get((doc, k), (0.0, 0.0)), (whole, answer))
+        found = items[k].match(place[a:b].tolist())
+        if found:
+            out[doc, k] = max(out.get((doc, k), (0.0, 0.0)), found)
 
     stops = first_word + counts
     for doc, k, start in runs.found(place, counts):

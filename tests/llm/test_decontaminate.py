@@ -126,3 +126,35 @@ def test_a_large_block_loses_no_verbatim_item(spark):
     caught = sum((1000 + k, k) in found for k in loose)
     assert caught >= 0.97 * len(loose)
     assert len(found) < 2200
+
+
+def test_sums_by_group():
+    """Groups of one row, of some and of far more than a piece."""
+    draws = np.random.default_rng(2)
+    group = np.repeat(np.arange(0, 40, 2), draws.choice([1, 2, 31, 32, 33, 500], 20))
+    table, at = draws.standard_normal((30, 4)).astype(np.float32), draws.integers(0, 30, len(group))
+    factor = draws.random(len(group)).astype(np.float32)
+    for times in (None, factor):
+        want = np.zeros((41, 4))
+        np.add.at(want, group, table[at] * (1 if times is None else times[:, None]))
+        assert np.allclose(d._segments(table, at, group, 41, times), want, atol=1e-3)
+    assert not d._segments(table, at[:0], group[:0], 3).any()
+
+
+def test_only_what_may_match_is_compared(monkeypatch):
+    """Few of the item's words in a text rule it out; the last sentence is compared only if the whole item matches."""
+    draws, calls, found = random.Random(4), [], 0
+    real = d._subsequence
+    monkeypatch.setattr(d, "_subsequence", lambda *a: calls.append(1) or real(*a))
+    for _ in range(300):
+        words = [draws.randrange(40) for _ in range(draws.randrange(5, 40))]
+        item = d.Item(1, words, draws.randrange(len(words)))
+        text = [w if draws.random() < 0.7 else -1 for w in words] if draws.random() < 0.5 else [draws.randrange(60) for _ in range(50)]
+        whole, answer = (x / n for x, n in zip(item.common(text), (len(words), len(words) - item.answer)))
+        calls.clear()
+        want = (whole, answer) if whole >= d.MATCH and answer >= d.ANSWER else None
+        assert item.match(text) == want
+        assert len(calls) <= (2 if whole >= d.MATCH else 1)
+        assert sum(w in words for w in text) >= d.MATCH * len(words) or not calls
+        found += want is not None
+    assert 0 < found < 300
