@@ -30,13 +30,14 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from closebook.llm.common import ARROW_ROWS, prepared, settings, slices, store
-from closebook.llm.components import components
+from closebook.llm.common import ARROW_ROWS, measured, prepared, settings, slices, store
+from closebook.llm.components import components, merged
 from closebook.llm.shingles import mix64, shingle_sets
 
 HOT = 4  # a token of so many prefixes is hot
@@ -176,8 +177,8 @@ def hot_tokens(shared: DataFrame) -> np.ndarray:
     return np.array(rows.column("token"), dtype=np.int64).view(np.uint64)
 
 
-def leader_links(full: DataFrame, comps: DataFrame | None, order: int, num: int, den: int) -> DataFrame:
-    """Links between sets and the leaders of their least token in a key order.
+def leader_links(full: DataFrame, comps: DataFrame | None, order: int, num: int, den: int) -> DataFrame | None:
+    """Links between sets and the leaders of their least token in a key order; None if no token has several components.
 
     With ``comps`` only tokens with sets of several components count, and of their sets those outside the largest.
     """
@@ -190,7 +191,9 @@ def leader_links(full: DataFrame, comps: DataFrame | None, order: int, num: int,
     per = keyed.groupBy("key", "comp").agg(F.count("*").alias("c"))
     major = F.max_by(F.struct("comp", "c"), F.struct("c", "comp"))
     several = per.groupBy("key").agg(major.alias("m"), F.count("*").alias("k")).where("k > 1").select("key", "m.comp", "m.c")
-    several = store(several.withColumnRenamed("comp", "major"), "near-key-groups")
+    several, seen = measured(several.withColumnRenamed("comp", "major"), "near-key-groups", n=F.count("*"))
+    if not seen["n"]:
+        return None
     in_key = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(order)), "id")
     few = keyed.join(several, "key", "left_semi").select("key", "id")
     few = few.withColumn("r", F.row_number().over(in_key)).where(F.col("r") <= LEADERS).select("id", "key")
@@ -287,6 +290,15 @@ def cross_candidates(prefixes: DataFrame, rows: DataFrame, tokens: DataFrame, nu
     return pairs.where(F.arrays_overlap("pa", "pb")).select("a", "b")
 
 
+def cross_links(full: DataFrame, prefixes: DataFrame, rows: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between sets of different components that tokens join which are not crowded."""
+    pairs = store(cross_candidates(prefixes, rows, tokens, num, den), "near-candidates")
+    one = full.select(F.col("id").alias("a"), "tokens")
+    other = full.select(F.col("id").alias("b"), F.array(F.struct("id", "tokens")).alias("others"))
+    with settings(full.sparkSession, {ARROW_ROWS: str(VERIFY_ROWS)}):
+        return store(verified(pairs.join(one, "a").join(other, "b"), num, den), "near-links")
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -320,27 +332,26 @@ def _classes(spark: SparkSession, docs: DataFrame, width: int, num: int, den: in
     hot = hot_tokens(store(often, "near-often"))
     with settings(spark, {ARROW_ROWS: str(VERIFY_ROWS)}):
         prefixes = store(ordered_prefixes(full, hot, num, den), "near-prefixes")
-        links, comps = None, None
+        comps = None
         for orders in ROUNDS:
-            for order in orders:
-                found = leader_links(full, comps, order, num, den)
-                links = found if links is None else links.unionAll(found)
-            links = store(links, "near-links")
-            comps = store(components(links), "near-components")
+            found = [x for x in (leader_links(full, comps, order, num, den) for order in orders) if x is not None]
+            if found:
+                comps = merged(comps, store(reduce(DataFrame.unionAll, found), "near-links"))
+    if comps is None:  # no two sets share a key
+        comps = spark.createDataFrame([], "id long, component long")
     rows = store(prefix_rows(prefixes, comps), "near-rows")
-    tokens = store(open_tokens(rows), "near-open")
-    with settings(spark, {ARROW_ROWS: "1"}):
-        links = store(links.unionAll(block_links(full, rows, tokens, num, den)), "near-links")
-    # A crowded token's sets have all met. The others are looked at with the components as they are now.
-    settled = components(links).withColumnRenamed("component", "now")
-    rows = rows.join(tokens.where(F.col("sets") <= CROWD).select("token"), "token", "left_semi")
-    rows = rows.join(settled, "id", "left").select("id", "n", F.coalesce("now", "id").alias("comp"), "token")
-    rows = store(rows, "near-rows")
-    pairs = store(cross_candidates(prefixes, rows, store(open_tokens(rows), "near-open"), num, den), "near-candidates")
-    one = full.select(F.col("id").alias("a"), "tokens")
-    other = full.select(F.col("id").alias("b"), F.array(F.struct("id", "tokens")).alias("others"))
-    with settings(spark, {ARROW_ROWS: str(VERIFY_ROWS)}):
-        more = store(verified(pairs.join(one, "a").join(other, "b"), num, den), "near-links")
-    joined = components(links.unionAll(more)).withColumnRenamed("id", "rep")
+    tokens, seen = measured(open_tokens(rows), "near-open", n=F.count("*"), crowded=F.count_if(F.col("sets") > CROWD))
+    if seen["crowded"]:
+        with settings(spark, {ARROW_ROWS: "1"}):
+            comps = merged(comps, store(block_links(full, rows, tokens, num, den), "near-links"))
+        # A crowded token's sets have all met. The others are looked at with the components as they are now.
+        rows = rows.join(tokens.where(F.col("sets") <= CROWD).select("token"), "token", "left_semi")
+        settled = comps.withColumnRenamed("component", "now")
+        rows = rows.join(settled, "id", "left").select("id", "n", F.coalesce("now", "id").alias("comp"), "token")
+        rows = store(rows, "near-rows")
+        tokens, seen = measured(open_tokens(rows), "near-open", n=F.count("*"))
+    if seen["n"]:
+        comps = merged(comps, cross_links(full, prefixes, rows, tokens, num, den))
+    joined = comps.withColumnRenamed("id", "rep")
     members = sets.select("doc_id", *mark).join(classes.select("rep", *mark), mark, "left").join(joined, "rep", "left")
     return members.select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
