@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closebook.llm.common import prepared, slices, store
+from closebook.llm.common import TEXT_BYTES, forget, prepared, slices, store
 from closebook.llm.shingles import mix64, word_hashes
 
 PASSAGE = 32
@@ -185,9 +185,10 @@ def known_words(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     held = texts.sparkSession.sparkContext.broadcast(vocabulary)
 
     def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         known = held.value
         found, passages = np.zeros(len(known.words) + 1, dtype=np.int64), 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             hashes, counts = word_hashes(batch.column("text").to_pylist())
             place = known.places(hashes)
             block, n = _blocks(counts, PASSAGE)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from closebook.llm.common import prepared, slices
+from closebook.llm.common import forget, prepared, slices
 
 UNKNOWN = "und"
 # The bound of the fitted sample: so many texts of each language, and so many in all.
@@ -147,6 +147,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     picked = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= wanted).select("lang", "text")
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = [features(t).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.record_batch([batch.column("lang"), pa.array(found, pa.binary())], names=["lang", "vector"])
@@ -163,6 +164,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     held = spark.sparkContext.broadcast(model)  # bounded: dimensions x bits
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         use = held.value
         for batch in slices(batches, "lang_text"):
             texts = batch.column(batch.num_columns - 1).to_pylist()

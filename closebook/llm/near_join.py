@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from closebook.llm.common import ARROW_ROWS, measured, prepared, settings, slices, store
+from closebook.llm.common import ARROW_ROWS, TEXT_BYTES, forget, measured, prepared, settings, slices, store
 from closebook.llm.components import components, merged
 from closebook.llm.shingles import mix64, shingle_sets
 
@@ -79,7 +79,8 @@ def set_heads(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """``doc_id, n_shingles, f1, f2, head``: a 128-bit mark of the set and its long prefix in the first order."""
 
     def heads(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        forget()
+        for batch in slices(batches, "text", TEXT_BYTES):
             hashes, sizes = shingle_sets(batch.column("text").to_pylist(), width)
             group = np.repeat(np.arange(len(sizes)), sizes)
             marks = []
@@ -98,7 +99,7 @@ def token_sets(docs: DataFrame, width: int) -> DataFrame:
     """``id, n, tokens, keys``: all tokens of every set that has any, and the least token in each of the key orders."""
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", TEXT_BYTES):
             hashes, sizes = shingle_sets(batch.column("text").to_pylist(), width)
             filled = np.flatnonzero(sizes)
             least = np.zeros((len(filled), len(KEY_ORDERS)), dtype=np.uint64)

@@ -15,20 +15,22 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from closebook.llm.common import prepared, slices, store
+from closebook.llm.common import TEXT_BYTES, prepared, remembered, slices, store
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2000
 # Distinct words that a Python worker remembers; beyond it starts afresh. Results do not depend on it.
 KNOWN_WORDS = 1_200_000
+# After so many new words it forgets those that came once only: most words do, and hold most of its memory.
+NEW_WORDS = 200_000
 
 OPTIONS = {
     "compression": "zstd",
@@ -68,11 +70,25 @@ class WordEncoder:
         self.codes = _Codes()
         self.ids = [np.array([self.end_id], dtype=np.int32)]
         self.lengths = [np.array([1], dtype=np.int64)]
+        self.uses, self.settled = np.zeros(1, dtype=np.int64), 0
+
+    def _sweep(self) -> None:
+        """Forget the words that were not used again."""
+        values, sizes = self._tables()
+        self.uses[0] = 2  # the end id stays
+        kept = np.flatnonzero(self.uses > 1)
+        pieces = list(self.codes)  # in the order of their codes
+        self.codes = _Codes(pieces[i - 1] for i in kept[1:].tolist())
+        values, sizes = _gather(values, sizes, kept)
+        self.ids, self.lengths = [values], [sizes]
+        self.uses, self.settled = np.ones(len(kept), dtype=np.int64), len(self.codes)
 
     def encode(self, texts: list[bytes | str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, with the end id after each text, and the number of ids of each text."""
         if len(self.codes) > self.known:
             self._reset()
+        elif len(self.codes) - self.settled > NEW_WORDS:
+            self._sweep()
         pieces = [self._pieces(t.encode() if isinstance(t, str) else t) for t in texts]
         counts = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
         found = np.fromiter(
@@ -80,6 +96,9 @@ class WordEncoder:
         )
         if self.codes.new:
             self._learn(self.codes.take())
+        uses = np.bincount(found, minlength=len(self.codes) + 1)
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         ends = np.cumsum(counts)
         values, sizes = _gather(*self._tables(), np.insert(found, ends, 0))
         return values, np.diff(np.cumsum(sizes)[ends + np.arange(len(ends))], prepend=0)
@@ -159,9 +178,10 @@ def _gather(values: np.ndarray, lengths: np.ndarray, picked: np.ndarray) -> tupl
 class _Codes(dict):
     """Piece to code; unknown pieces get the next code and are remembered as new. Code 0 is the end id."""
 
-    def __init__(self):
+    def __init__(self, known: Iterable[bytes] = ()):
+        super().__init__(zip(known, count(1)))
         self.new: list[bytes] = []
-        self.next = 1
+        self.next = len(self) + 1
 
     def __missing__(self, piece: bytes) -> int:
         code = self[piece] = self.next
@@ -174,14 +194,9 @@ class _Codes(dict):
         return new
 
 
-_encoders: dict[tuple, WordEncoder] = {}
-
-
 def encoder(path: str, end_id: int) -> WordEncoder:
     """One encoder per Python worker."""
-    if (path, end_id) not in _encoders:
-        _encoders[path, end_id] = WordEncoder(path, end_id)
-    return _encoders[path, end_id]
+    return remembered((path, end_id), lambda: WordEncoder(path, end_id))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -193,7 +208,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use, part, start = encoder(tokenizer, end_id), TaskContext.get().partitionId(), 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             ids, sizes = use.encode(batch.column("text").cast(pa.binary()).to_pylist())
             ends = np.cumsum(sizes)
             lists = pa.ListArray.from_arrays(pa.array(np.insert(ends, 0, 0), pa.int32()), pa.array(ids))

@@ -74,3 +74,31 @@ def test_words_that_end_in_any_letter_before_a_mark():
     edges = [0, *sizes.cumsum().tolist()]
     found = [ids[a:b].tolist() for a, b in zip(edges, edges[1:])]
     assert [w for w, x, y in zip(words, found, want) if x != y] == []
+
+
+def test_words_that_come_once_are_forgotten(tokenizer, monkeypatch):
+    """What a worker remembers does not grow with the words that it has seen; ids are as before."""
+    monkeypatch.setattr(t, "NEW_WORDS", 100)
+    use = t.WordEncoder(PATH, 2)
+    for i in range(30):
+        texts = [" ".join(f"rare{i}x{k}" for k in range(60)) + " the cat. THE CAT, sat", "the cat sat on it."]
+        ids, sizes = use.encode(texts)
+        want = [e.ids + [2] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert sizes.tolist() == [len(w) for w in want]
+        assert ids.tolist() == sum(want, [])
+        assert len(use.codes) <= 250 and {b"the", b"cat."} <= use.codes.keys()
+
+
+def test_the_encoder_goes_when_another_operator_works():
+    from closebook.llm import common, near_join
+
+    class Batches:
+        def mapInArrow(self, work, schema):
+            return list(work(iter(())))
+
+    first = t.encoder(PATH, 2)
+    assert t.encoder(PATH, 2) is first
+    near_join.set_heads(Batches(), 5, 80, 100)
+    assert not common._remembered
+    assert t.encoder(PATH, 2) is not first
+    common.forget()
